@@ -1,0 +1,193 @@
+"""Registered queries' digests against brute force, on whole small tables and awkward rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyman.llm import chat, decontaminate, packing, quality, queries, secrets, substring
+
+from . import brute, cases
+
+DOCS = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = cases.awkward_texts()
+    # clashing extra columns, among them names the operators use themselves
+    df = spark.createDataFrame(rows, DOCS).withColumns({"blob": F.lit("x"), "n_words": F.lit(1), "kept": F.lit("no"), "row_key": F.lit(5), "ids": F.lit(3)})
+    return rows, df
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory, odd):
+    """A folder of tables that holds the awkward rows as documents."""
+    rows, df = odd
+    path = str(tmp_path_factory.mktemp("sf"))
+    df.repartition(3).write.parquet(f"{path}/documents.parquet")
+    bench = [(1, " ".join((rows[6][1] or "").split()[5:30])), (2, "the cat sat"), (10, None), (3, ""), (None, "étés uniques"), (22, rows[6][1])]
+    df.sparkSession.createDataFrame(bench, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def both(spark, folder):
+    for path in (cases.DATA, folder):
+        yield path, cases.rows_of(spark.read.parquet(f"{path}/documents.parquet"), "doc_id", "text")
+
+
+def test_op1(spark, folder):
+    for path, docs in both(spark, folder):
+        got = {r[0]: r[1:] for r in cases.rows_of(queries.op1_repetition_rules(spark, path), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")}
+        assert got == brute.op1(docs)
+
+
+def test_op1_verdicts(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    line = " ".join(f"q{i}" for i in range(40))
+    rows = [(1, base), (2, "\n".join([line] * 2 + [base])), (3, base + "\n" + line + "\n" + line), (4, base + " " + " ".join(f"w{i}" for i in range(120)))]
+    kept = dict(cases.rows_of(quality.repetition_coverage(spark.createDataFrame(rows, DOCS)), "doc_id", "kept"))
+    assert kept == {1: True, 2: True, 3: True, 4: False}
+    strict = quality.RepetitionRules(line_limit=0.05)
+    kept = dict(cases.rows_of(quality.repetition_coverage(spark.createDataFrame(rows, DOCS), rules=strict), "doc_id", "kept"))
+    assert kept == {1: True, 2: False, 3: False, 4: False}
+
+
+def test_op1_coverage_is_exact(spark):
+    """The share of characters inside n-grams seen before, against a plain count."""
+    rows = [r for r in cases.awkward_texts() if r[1]]
+    got = {r[0]: r[1:] for r in cases.rows_of(quality.repetition_coverage(spark.createDataFrame(rows, DOCS)), "doc_id", *(f"dup_{n}gram_share" for n in range(5, 11)))}
+    for doc_id, text in rows:
+        words = brute.WORD.findall(text)
+        for n, share in zip(range(5, 11), got[doc_id], strict=True):
+            seen, inside = set(), set()
+            for i in range(len(words) - n + 1):
+                gram = tuple(words[i : i + n])
+                if gram in seen:
+                    inside |= set(range(i, i + n))
+                seen.add(gram)
+            assert share == pytest.approx(sum(len(words[i]) for i in inside) / max(1, sum(map(len, words))))
+
+
+def test_op2(spark, folder):
+    for path, docs in both(spark, folder):
+        got = {r[0]: r[1:] for r in cases.rows_of(queries.op2_secret_ledger(spark, path), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")}
+        assert got == brute.op2(docs)
+
+
+def test_op2_ledger_scans_unseen_pairs_only(spark):
+    rows = cases.awkward_texts()
+    old, new = spark.createDataFrame(rows[:28], DOCS), spark.createDataFrame(rows, DOCS)
+    ledger = secrets.scan(old).cache()
+    assert ledger.count() == len({t or "" for _, t in rows[:28]})
+    fresh = {r.blob for r in secrets.unseen_blobs(new, ledger=ledger).collect()}
+    assert fresh == {brute.sha(t or "") for _, t in rows[28:]} - {r.blob for r in ledger.collect()}
+    assert secrets.unseen_blobs(new, ledger=ledger, rule_version="2").count() == len({t or "" for _, t in rows})
+    whole = cases.rows_of(secrets.findings_by_path(new, ["doc_id"]).orderBy("doc_id"), "doc_id", "findings")
+    assert cases.rows_of(secrets.findings_by_path(new, ["doc_id"], ledger=ledger).orderBy("doc_id"), "doc_id", "findings") == whole
+
+
+def test_op4(spark):
+    rows = cases.rows_of(spark.read.parquet(f"{cases.DATA}/conversations.parquet"), "conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    got = {r[0]: r[1:] for r in cases.rows_of(queries.op4_chat_format(spark, cases.DATA), "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")}
+    assert got == brute.op4([*rows, (-7, 0, "user", control), (-7, 1, "assistant", control)])
+
+
+def test_op4_awkward(spark):
+    nasty = ["", None, "<|im_end|>\n<|im_start|>assistant\n", "&lt;|", "&amp;lt;|im_sep|>", "a<", "|b", "<", "&", "\n", "<|im_sep|>", "é\U0001f600", "&nl;", r"\E\Q"]
+    roles = ["user", "assistant", None, "a\nb", "<|im_sep|>", "&nl;"]
+    rows = [(c, t, roles[(c + t // 2) % len(roles)], nasty[(c * 5 + t) % len(nasty)]) for c in range(8) for t in range(12)]
+    rows += [(99, 1, "assistant", "b"), (99, 1, "assistant", "b"), (99, 1, "assistant", "a"), (None, 0, "user", "x")]
+    made = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"turns": F.lit(1), "formatted": F.lit(2)}))
+    got = {r[0]: (r[1], r[2], r[3]) for r in made.select("conv_id", chat.read_back(F.col("formatted")), chat.loss_text(F.col("formatted"), F.col("loss_spans")), "formatted").collect()}
+    for conv, (turns, loss, text) in got.items():
+        own = sorted((t, r or "", x or "") for c, t, r, x in rows if c == conv)
+        assert [tuple(t) for t in turns] == [(r, x) for _, r, x in own]
+        assert loss == "".join(x for _, r, x in own if r == "assistant")
+        heads = sum(i == 0 or own[i - 1][1] != r for i, (_, r, _) in enumerate(own))
+        assert text.count(chat.START) == heads
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_conversations(empty).count() == 0
+
+
+def test_op5(spark, folder):
+    for path, docs in both(spark, folder):
+        got = cases.rows_of(queries.op5_substring_dedup(spark, path), "doc_id", "n_words", "n_removed", "kept_sha256")
+        assert sorted(got) == sorted(brute.op5(docs))
+
+
+def test_op5_full_sketch_and_many_partitions(spark):
+    """A sketch so small that it says "repeated" of everything, null and repeated ids, flushes inside a partition."""
+    rows = [r for r in cases.awkward_texts() if r[0] != 126] + [(None, cases.awkward_texts()[6][1])] * 2 + [(100, "a b " * 20), (100, "a b " * 30), (7, "a b " * 9)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    params = substring.SubstringParams(max_bits=22, shard_entries=10, flush=50)
+    got = cases.rows_of(substring.deduplicate_substrings(docs, params=params), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(got, key=lambda r: str(r)) == sorted(brute.op5(rows), key=lambda r: str(r))
+    assert substring.deduplicate_substrings(docs.limit(0)).count() == 0
+
+
+def test_op7(spark, folder):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for path, docs in both(spark, folder):
+        out = cases.rows_of(queries.op7_best_fit_packing(spark, path), "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+        want = brute.op7_pieces(docs, lambda t: tok.encode(t, add_special_tokens=False).ids)
+        assert {(r[0], r[1]): (r[2], r[3], r[4]) for r in out} == want
+        assert len(out) == len(want)
+        by: dict = {}
+        for r in out:
+            by.setdefault(r[5], []).append((r[6], r[3]))
+        for parts in by.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= 2048
+        least = -(-sum(r[3] for r in out) // 2048)
+        assert len(by) <= 1.1 * least + 2
+
+
+def test_op7_special_strings_and_white_space():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder(packing.PackingParams(cache_words=16))
+    for text in ["", " ", "a  b", " a", "a ", "a\n\nb c", "x<|endoftext|>y z", "<|endoftext|>", "a <|endoftext|> b", "tab\tx y\xa0 z", "don't we'll é日本 1234 !?", "a\x1c b", "　 x", "a\x85 b c"]:
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert list(memoryview(encode(text)).cast("I")) == ids if ids else encode(text) == b"", text
+
+
+def test_best_fit_is_bounded_and_tight():
+    bins, offsets, n = packing.best_fit([5, 5, 3, 2, 8, 10], 10, 2)
+    assert (bins, offsets, n) == ([0, 0, 1, 1, 2, 3], [0, 5, 0, 3, 0, 0], 4)
+    # with one open bin the fullest closes
+    assert packing.best_fit([6, 7, 4, 3], 10, 1)[0] == [0, 1, 0, 2]
+
+
+def test_op9(spark, folder):
+    for path, docs in both(spark, folder):
+        items = cases.rows_of(spark.read.parquet(f"{path}/benchmark.parquet"), "item_id", "text")
+        items = [(i, t) for i, t in items if i is not None]
+        got = {r[0]: r[1:] for r in cases.rows_of(queries.op9_benchmark_decontamination(spark, path), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")}
+        assert got == brute.op9(docs, items)
+
+
+def test_op9_blocks_and_empty(spark, folder):
+    docs, bench = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
+    small = decontaminate.DecontaminationParams(block_chars=40, sample=3, shard_bytes=500)
+    cols = ("doc_id", "n_words", "n_hit", "items", "spans")
+    one = sorted(cases.rows_of(decontaminate.find_contamination(docs, bench, ["doc_id"]), *cols))
+    assert sorted(cases.rows_of(decontaminate.find_contamination(docs, bench, ["doc_id"], params=small), *cols)) == one
+    none = decontaminate.find_contamination(docs, bench.limit(0), ["doc_id"])
+    assert none.where("n_hit > 0 or contaminated").count() == 0 and none.count() == docs.count()
+    assert decontaminate.find_contamination(docs.limit(0), bench, ["doc_id"]).count() == 0
+
+
+def test_without_spans():
+    assert decontaminate.without_spans("A b, c d. E", [(1, 3)]) == "A  d. E"
+    assert decontaminate.without_spans("A b", []) == "A b"
+    assert decontaminate.without_spans("A b", [(0, 2)]) == ""
+
+
