@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality, secrets, substring
+from . import chat, decontaminate, linededup, minhash, packing, quality, secrets, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,51 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, removed_sha256 (hex digest of the removed lines' places, comma-joined)."""
+    report = linededup.line_report(table(spark, sf_dir, "documents"))
+    places = F.array_join(F.transform("removed", lambda i: i.cast("string")), ",")
+    return report.select("doc_id", "n_lines", "n_removed", F.sha2(places, 256).alias("removed_sha256"))
+
+
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, their revisits resolved: record, kind, verdict, source, digest, headers as sorted text."""
+    done = warc.resolve_revisits(warc.records_of_pages(table(spark, sf_dir, "pages")))
+    told = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return done.select(F.col("id").alias("record_id"), "kind", "verdict", "source_id", "digest", told.alias("headers"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def fold(id_col: str = "doc_id"):
+    """The remainder that parts held-out rows (0) from those labels may be learnt from."""
+    return F.crc32(F.col(id_col).cast("string")) % 5
+
+
+def fitted_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold() != 0))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, fitted_toxicity(spark, docs, sf_dir), ["doc_id"])
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_repetition_rules, op2_secret_ledger, op4_chat_format, op5_substring_dedup, op7_best_fit_packing, op9_benchmark_decontamination)
+    f.__name__: f
+    for f in (
+        op1_repetition_rules,
+        op2_secret_ledger,
+        op3_fuzzy_lines,
+        op4_chat_format,
+        op5_substring_dedup,
+        op6_warc_revisits,
+        op7_best_fit_packing,
+        op8_near_duplicates,
+        op9_benchmark_decontamination,
+        op10_toxicity,
+    )
 }

@@ -6,10 +6,10 @@ whose word sequence also starts in a document with a smaller id is removed.
 1. Each partition turns its windows into sparse count-min cells (two rows,
    counts 0, 1 and "2 or more"); cells are merged shard by shard as a stream.
    Only the merged "2 or more" bits reach the executors: 2 * 2**max_bits bits
-   at most (128 MB by default), whatever the size of the corpus.  An estimate
+   at most (64 MB by default), whatever the size of the corpus.  An estimate
    is never below the true count, so no repeated window is lost; a fuller
    sketch merely lets more single windows through to step 2.
-2. Each partition hashes its windows again (128 bits), keeps those estimated
+2. Each partition hashes its windows again (96 bits), keeps those estimated
    repeated, and settles what it can: of a window's documents in one partition
    only the smallest can keep it.  That one goes to the window's shard, so a
    window in a third of all documents sends one entry per partition.  Shards
@@ -44,24 +44,25 @@ _CELL_BITS = 22  # cells of one shard of the sketch
 class SubstringParams:
     width: int = 13
     #: log2 of the cells of each of the two rows of the sketch, at most.
-    max_bits: int = 29
+    max_bits: int = 28
     #: Cells per row for each expected window.
     cells_per_window: float = 3.0
     #: Entries of step 2 that one shard is meant to hold.
-    shard_entries: int = 2_000_000
-    #: Windows or entries that a task gathers before it passes them on.
-    flush: int = 6_000_000
+    shard_entries: int = 1_000_000
+    #: Windows (step 1) or entries (step 2) that a task gathers before it passes them on.
+    flush_windows: int = 4_000_000
+    flush: int = 1_500_000
 
 
 def _window_hashes(words: K.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts (word index) of a block's windows and their two hashes."""
     at = K.window_index(words, width)
     one, two = (K.mix64(K.rolling(words.hashes, width, base)[at]) for base in _BASES)
-    return at, one, two
+    return at, one, two >> K.U64(32)
 
 
 def _cells(one: np.ndarray, two: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    return (one >> K.U64(64 - bits)).astype(np.uint32), (two >> K.U64(64 - bits)).astype(np.uint32)
+    return (one >> K.U64(64 - bits)).astype(np.uint32), (two >> K.U64(32 - bits)).astype(np.uint32)
 
 
 def _pack(sorted_cells: np.ndarray) -> bytes:
@@ -79,7 +80,7 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     bits = max(_CELL_BITS, min(params.max_bits, int(np.ceil(np.log2(max(2, params.cells_per_window * size / 6))))))
-    per_row, width, flush = 1 << (bits - _CELL_BITS), params.width, params.flush
+    per_row, width, flush = 1 << (bits - _CELL_BITS), params.width, params.flush_windows
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list] = ([], [])
@@ -142,6 +143,32 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
     return flags, bits
 
 
+def _pack_entries(doc: np.ndarray, key: np.ndarray, one: np.ndarray, two: np.ndarray, local: np.ndarray, pos: np.ndarray) -> bytes:
+    """Entries in the order of `one`: its gaps by byte planes, the rest as it is, compressed."""
+    gaps = np.diff(one, prepend=K.U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    ints = two.astype(np.uint32).tobytes() + local.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() + pos.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+    body = doc.astype(np.int64).tobytes() + key.astype(np.int64).tobytes() + gaps + ints
+    return np.array([len(doc), len(one)], np.uint32).tobytes() + zstandard.compress(body, 1)
+
+
+def _unpack_entries(blob: bytes) -> tuple[np.ndarray, ...]:
+    rows, m = (int(x) for x in np.frombuffer(blob, np.uint32, 2))
+    body = zstandard.decompress(blob[8:])
+    doc, key = np.frombuffer(body, np.int64, 2 * rows).reshape(2, rows)
+    at = 16 * rows
+
+    def planes(width: int, kind: type) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(body, np.uint8, m * width, at).reshape(width, m).T).view(kind).ravel()
+
+    one = np.cumsum(planes(8, np.uint64), dtype=np.uint64)
+    at += 8 * m
+    two = np.frombuffer(body, np.uint32, m, at).astype(np.uint64)
+    at += 4 * m
+    local = planes(4, np.uint32).astype(np.int64)
+    at += 4 * m
+    return doc, key, one, two, local, planes(4, np.uint32)
+
+
 def _lit(flags: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (flags[cells >> np.uint32(3)] >> (np.uint32(7) - (cells & np.uint32(7))).astype(np.uint8)) & 1 == 1
 
@@ -211,10 +238,7 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
             for s, a, b in zip(range(shards), np.searchsorted(shard, np.arange(shards)), np.searchsorted(shard, np.arange(shards), "right"), strict=True):
                 if b > a:
                     own, local = np.unique(row[a:b], return_inverse=True)
-                    parts = [doc[own].astype(np.int64), key[own].astype(np.int64), one[a:b], two[a:b], local.astype(np.uint32), pos[a:b].astype(np.uint32)]
-                    body = b"".join(zstandard.compress(p.tobytes(), 1) if p.dtype == np.uint32 else p.tobytes() for p in parts[:4])
-                    tail = zstandard.compress(b"".join(p.tobytes() for p in parts[4:]), 1)
-                    blobs.append((s, np.array([len(own), b - a], np.uint32).tobytes() + body + tail))
+                    blobs.append((s, _pack_entries(doc[own], key[own], one[a:b], two[a:b], local, pos[a:b])))
             none = pa.nulls(len(blobs), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in blobs], pa.int32()), none, none, pa.array([b for _, b in blobs], pa.binary())], names=["shard", "doc", "row_key", "blob"])
             held.clear()
@@ -267,16 +291,11 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
                     yield from out()
                     held, docs_held, keys_held, base = [], [], [], 0
                 now = shard
-                rows, m = (int(x) for x in np.frombuffer(blob, np.uint32, 2))
-                at = 8
-                cols = []
-                for kind, count in ((np.int64, rows), (np.int64, rows), (np.uint64, m), (np.uint64, m)):
-                    cols.append(np.frombuffer(blob, kind, count, at))
-                    at += 8 * count
-                rest = np.frombuffer(zstandard.decompress(blob[at:]), np.uint32)
-                docs_held.append(cols[0])
-                keys_held.append(cols[1])
-                held.append((cols[2], cols[3], rest[:m].astype(np.int64) + base, rest[m:]))
+                docs, keys, one, two, local, pos = _unpack_entries(blob)
+                docs_held.append(docs)
+                keys_held.append(keys)
+                held.append((one, two, local + base, pos))
+                rows = len(docs)
                 base += rows
         if held:
             yield from out()
