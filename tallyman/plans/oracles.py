@@ -1,3 +1,150 @@
-"""DuckDB SQL for the registered queries."""
+"""DuckDB SQL for the registered queries: joins and windows, where Spark has one grouped union."""
 
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from .pairs import COLUMNS, KEYS, PAIRS
+
+
+def _blank(key: str) -> str:
+    return f"CASE WHEN trim(CAST({key} AS VARCHAR), ' ') <> '' THEN {key} END"
+
+
+def _cid(keys: tuple[str, ...], table: str = "") -> str:
+    return " || '_' || ".join(f"coalesce(CAST({table}{k} AS VARCHAR), 'NULL')" for k in keys)
+
+
+def _shown(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN 'NULL' WHEN trim(CAST({value} AS VARCHAR), ' ') = '' THEN '<empty>' ELSE CAST({value} AS VARCHAR) END"
+
+
+def _rows(sql: str, keys: tuple[str, ...], where: str = "") -> str:
+    cast = ", ".join(f"{_blank(k)} AS {k}" for k in keys)
+    return f"SELECT * REPLACE ({cast}) FROM ({sql}) {where}"
+
+
+def diff_sql(pair: str, equals: bool = False, strict: bool = False, how: dict[str, str] | None = None, priority: str = "", where: tuple[str, str] = ("", ""), columns: tuple[str, ...] | None = None) -> str:
+    keys, columns = KEYS[pair], columns or COLUMNS[pair]
+    pick = lambda c: (how or {}).get(c, "max({})").format(c)
+    parts = []
+    for name, sql, only in zip("rn", PAIRS[pair], where, strict=True):
+        rows = _rows(sql, keys, only)
+        if priority:
+            order = ", ".join(f"{c} DESC NULLS LAST" for c in (priority, *columns))
+            rows = f"SELECT * FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) = 1"
+        parts.append(f"{name} AS (SELECT {', '.join(keys)}, {', '.join(f'{pick(c)} AS {c}' for c in columns)}, true AS here FROM ({rows}) GROUP BY {', '.join(keys)})")
+    meet = " AND ".join(f"r.{k} = n.{k}" if strict else f"r.{k} IS NOT DISTINCT FROM n.{k}" for k in keys)
+    cid = " || '_' || ".join(f"coalesce(CAST(coalesce(r.{k}, n.{k}) AS VARCHAR), 'NULL')" for k in keys)
+    cells = ", ".join(f"r.{c} AS r_{c}, n.{c} AS n_{c}" for c in columns)
+    exact = " AND ".join(["in_r", "in_n", *(f"r_{c} IS NOT DISTINCT FROM n_{c}" for c in columns)])
+    joined = f"j AS (SELECT {cid} AS id, coalesce(r.here, false) AS in_r, coalesce(n.here, false) AS in_n, {cells} FROM r FULL JOIN n ON {meet})"
+    result = "CASE WHEN NOT in_r THEN 'ONLY_IN_NEW' WHEN NOT in_n THEN 'ONLY_IN_REF' WHEN r_{c} IS NOT DISTINCT FROM n_{c} THEN 'MATCH' ELSE 'NO_MATCH' END"
+    told = " UNION ALL ".join(f"SELECT id, '{c}' AS \"column\", {_shown(f'r_{c}')} AS value_ref, {_shown(f'n_{c}')} AS value_new, {result.format(c=c)} AS results FROM j WHERE NOT ({exact})" for c in columns)
+    if equals:
+        told += f" UNION ALL SELECT id, 'ALL_COLUMNS', 'ALL_MATCH', 'ALL_MATCH', 'EXACT_MATCH' FROM j WHERE {exact}"
+    keep = "" if equals else " WHERE results <> 'MATCH'"
+    return f"WITH {', '.join(parts)}, {joined} SELECT * FROM ({told}){keep}"
+
+
+def dups_sql(pair: str, priority: tuple[str, ...] = ()) -> str:
+    keys, columns = KEYS[pair], tuple(c for c in COLUMNS[pair] if c not in priority)
+    sides = []
+    for origin, sql in zip(("ref", "new"), PAIRS[pair], strict=True):
+        texts = [f"coalesce(CAST({c} AS VARCHAR), '__NULL__') AS {c}" for c in columns]
+        names = [f"CAST({k} AS VARCHAR) AS {k}" for k in keys]
+        distinct = "DISTINCT " if priority else ""
+        sides.append(f"SELECT {distinct}'{origin}' AS origin, {', '.join(names + texts)} FROM ({_rows(sql, keys)})")
+    whole = " || '§' || ".join([*(f"coalesce({k}, '__NULL__')" for k in keys), *columns])
+    sets = ", ".join(f"list_sort(list(DISTINCT {c})) AS {c}" for c in columns)
+    grouped = f"SELECT origin, {', '.join(keys)}, count(*) AS occ, count(DISTINCT sha256({whole})) AS hashes, {sets} FROM ({' UNION ALL '.join(sides)}) GROUP BY origin, {', '.join(keys)} HAVING count(*) >= 2"
+    shown = "CASE WHEN x = '__NULL__' THEN 'NULL' WHEN x = '' THEN '<empty>' ELSE x END"
+    told = ", ".join(f"CASE WHEN len({c}) > 1 THEN '{c}: [' || array_to_string(list_transform({c}, lambda x: {shown}), ', ') || ']' END" for c in columns)
+    own = f"OVER (PARTITION BY {', '.join(keys)})"
+    return (
+        f"SELECT origin, {_cid(keys)} AS id, CASE WHEN bool_or(origin = 'ref') {own} AND bool_or(origin = 'new') {own} THEN 'both' WHEN bool_or(origin = 'ref') {own} THEN 'only_ref' ELSE 'only_new' END AS category, "
+        f"CAST(occ - hashes AS VARCHAR) AS exact_duplicates, CAST(hashes - 1 AS VARCHAR) AS dupes_w_variations, CAST(occ AS VARCHAR) AS occurrences, "
+        f"coalesce(nullif(concat_ws(' | ', {told}), ''), '-') AS variations FROM ({grouped})"
+    )
+
+
+def summary_sql(pair: str) -> str:
+    keys = KEYS[pair]
+    ids = [f"SELECT {_cid(keys)} AS id FROM ({_rows(sql, keys)})" for sql in PAIRS[pair]]
+    least = lambda who: f"(SELECT coalesce(nullif(string_agg(id, ',' ORDER BY id), ''), '-') FROM (SELECT DISTINCT id FROM ({who}) ORDER BY id LIMIT 10))"
+    sets = {
+        "M1": "SELECT id FROM r",
+        "M2": "SELECT id FROM n",
+        "M6": "SELECT id FROM b WHERE id NOT IN (SELECT id FROM v) AND id NOT IN (SELECT id FROM d)",
+        "M7": "SELECT id FROM b WHERE id NOT IN (SELECT id FROM v)",
+        "M8": "SELECT id FROM b WHERE id IN (SELECT id FROM v)",
+        "M9": "SELECT id FROM r EXCEPT SELECT id FROM n",
+        "M10": "SELECT id FROM n EXCEPT SELECT id FROM r",
+        "M11": "SELECT DISTINCT id FROM d WHERE category = 'both'",
+        "M12": "SELECT DISTINCT id FROM d WHERE category = 'only_ref'",
+        "M13": "SELECT DISTINCT id FROM d WHERE category = 'only_new'",
+    }
+    count = lambda s: f"(SELECT count(*) FROM ({s}))"
+    over = {"M5": count("SELECT * FROM ra"), "M6": count("SELECT * FROM b"), "M9": count("SELECT * FROM r"), "M10": count("SELECT * FROM n")}
+    over |= {m: over["M6"] for m in ("M7", "M8", "M11")} | {"M12": over["M9"], "M13": over["M10"]}
+    numbers = {m: count(s) for m, s in sets.items()} | {"M3": count("SELECT * FROM ra"), "M4": count("SELECT * FROM na")}
+    numbers["M5"] = f"({numbers['M4']} - {numbers['M3']})"
+    from tallyman.operators.summary import ROWS
+
+    rows = []
+    for m, block, metric, universe in ROWS:
+        den = over.get(m, "0")
+        sample = least(sets[m]) if m in sets and m not in ("M1", "M2", "M6") else "'-'"
+        rows.append(f"SELECT '{block}' AS block, '{metric}' AS metric, '{universe}' AS universe, {numbers[m]} AS num, {den} AS den, {sample} AS samples")
+    return (
+        f"WITH ra AS ({ids[0]}), na AS ({ids[1]}), r AS (SELECT DISTINCT id FROM ra), n AS (SELECT DISTINCT id FROM na), b AS (SELECT id FROM r INTERSECT SELECT id FROM n), "
+        f"v AS (SELECT DISTINCT id FROM ({diff_sql(pair)})), d AS (SELECT id, category FROM ({dups_sql(pair)})) "
+        f"SELECT block, metric, universe, CAST(num AS VARCHAR) AS numerator, CASE WHEN den > 0 THEN CAST(den AS VARCHAR) ELSE '-' END AS denominator, "
+        f"CASE WHEN den > 0 THEN printf('%.4f%%', num * 100.0::DOUBLE / den) ELSE '-' END AS pct, samples FROM ({' UNION ALL '.join(rows)})"
+    )
+
+
+def _block(*blocks: str, samples: bool = True) -> str:
+    listed = ", ".join(f"'{b}'" for b in blocks)
+    return f"SELECT block, metric, universe, numerator, denominator, pct, samples FROM ({summary_sql('ord')}) WHERE block IN ({listed})"
+
+
+_FIRST = {"qty": "arg_min(qty, (price, part)) FILTER (qty IS NOT NULL)", "flag": "arg_min(flag, (price, part)) FILTER (flag IS NOT NULL)"}
+_VERDICT = (
+    "SELECT id, \"column\", results FROM (SELECT CAST(k AS VARCHAR) AS id, 'c' AS \"column\", "
+    "CASE WHEN n IS NULL THEN 'ONLY_IN_REF' WHEN r IS NULL THEN 'ONLY_IN_NEW' WHEN same THEN 'MATCH' ELSE 'NO_MATCH' END AS results FROM ({}))"
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "diff_full": diff_sql("ord", equals=True),
+    "diff_no_equals": diff_sql("ord"),
+    "diff_composite_key": diff_sql("li"),
+    "diff_null_keys_match": diff_sql("cust", equals=True),
+    "diff_null_keys_strict": diff_sql("cust", equals=True, strict=True),
+    "diff_agg_min": diff_sql("li", how={"qty": "min({})", "ship": "min({})"}),
+    "diff_agg_first": diff_sql("li", how=_FIRST),
+    "diff_priority": diff_sql("evt", priority="e"),
+    "diff_mapped_columns": diff_sql("cust"),
+    "diff_filtered": diff_sql("ord", where=("WHERE price > 1000 AND status IN ('O', 'F')", "WHERE price > 1000 AND status IN ('O', 'F')")),
+    "diff_partition_spec": diff_sql("cust", where=("WHERE nation IN (1, 3, 5)",) * 2, columns=("segment", "balance")),
+    "diff_window_days": diff_sql("ord", where=("WHERE odate BETWEEN DATE '1995-03-10' AND DATE '1995-03-20'", "WHERE odate BETWEEN DATE '1995-03-13' AND DATE '1995-03-17'"), columns=("cust", "status", "price", "priority")),
+    "diff_constant_pruned": diff_sql("const"),
+    "diff_array_column": _VERDICT.format("SELECT vec_id AS k, embedding AS r, CASE WHEN vec_id % 4 = 0 THEN list_reverse(embedding) ELSE embedding END AS n, embedding = CASE WHEN vec_id % 4 = 0 THEN list_reverse(embedding) ELSE embedding END AS same FROM embeddings"),
+    "diff_struct_column": _VERDICT.format("SELECT event_id AS k, 1 AS r, 1 AS n, event_id % 6 <> 0 AS same FROM events"),
+    "diff_map_column": _VERDICT.format("SELECT event_id AS k, 1 AS r, CASE WHEN event_id % 8 = 7 THEN NULL ELSE 1 END AS n, event_id % 6 <> 0 AS same FROM events"),
+    "diff_binary_column": _VERDICT.format("SELECT doc_id AS k, 1 AS r, 1 AS n, doc_id % 5 <> 0 AS same FROM documents"),
+    "diff_mismatch_by_column": f"SELECT \"column\", results, count(*) AS keys FROM ({diff_sql('ord', equals=True)}) GROUP BY ALL",
+    "dups_basic": dups_sql("ord"),
+    "dups_composite": dups_sql("li"),
+    "dups_priority": dups_sql("evt", priority=("e",)),
+    "dups_variations": f"SELECT origin, id, variations FROM ({dups_sql('li')}) WHERE variations <> '-'",
+    "dups_category_counts": f"SELECT origin, category, count(*) AS keys FROM ({dups_sql('li')}) GROUP BY ALL",
+    "row_hash": "SELECT sha256(concat_ws('§', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '__NULL__')" for c in (*KEYS["li"], *COLUMNS["li"])) + f")) AS hash FROM ({PAIRS['li'][0]})",
+    "summary_full": summary_sql("ord"),
+    "summary_composite": summary_sql("li"),
+    "summary_kpis": _block("KPIS"),
+    "summary_matches": _block("EXACT MATCH", "PARTIAL MATCH"),
+    "summary_gaps": _block("GAP"),
+    "summary_dups": _block("DUPS"),
+    "ids_only_ref": f"SELECT CAST(k AS VARCHAR) AS id FROM ({PAIRS['ord'][0]}) EXCEPT SELECT CAST(k AS VARCHAR) FROM ({PAIRS['ord'][1]})",
+    "ids_only_new": f"SELECT CAST(k AS VARCHAR) AS id FROM ({PAIRS['ord'][1]}) EXCEPT SELECT CAST(k AS VARCHAR) FROM ({PAIRS['ord'][0]})",
+    "ids_both": f"SELECT CAST(k AS VARCHAR) AS id FROM ({PAIRS['ord'][0]}) INTERSECT SELECT CAST(k AS VARCHAR) FROM ({PAIRS['ord'][1]})",
+}

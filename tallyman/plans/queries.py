@@ -1,3 +1,161 @@
-"""Registered queries of the reconciliation engine."""
+"""Registered queries of the reconciliation engine, over the driver's tables."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyman.functions import columns as C
+from tallyman.operators.differences import mismatches_by_column
+from tallyman.operators.summary import id_flags
+
+from .compare import Comparison, compare
+from .pairs import COLUMNS, KEYS, PAIRS, TABLES
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def pair(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    source = TABLES[name]
+    rows = table(spark, sf_dir, source)
+    return tuple(spark.sql(sql.replace(f"FROM {source}", "FROM {rows}"), rows=rows) for sql in PAIRS[name])
+
+
+def compared(spark: SparkSession, sf_dir: str, name: str, **options) -> Comparison:
+    return compare(spark, *pair(spark, sf_dir, name), keys=KEYS[name], **options)
+
+
+def _diff(name: str, **options) -> Query:
+    return lambda spark, sf_dir: compared(spark, sf_dir, name, **options).differences
+
+
+def _dups(name: str, **options) -> Query:
+    return lambda spark, sf_dir: compared(spark, sf_dir, name, **options).duplicates
+
+
+def _summary(name: str, *blocks: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = compared(spark, sf_dir, name).summary
+        return made.where(F.col("block").isin(*blocks)) if blocks else made
+
+    return run
+
+
+def diff_mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, new = pair(spark, sf_dir, "cust")
+    names = {"name": "nombre", "segment": "segmento", "balance": "saldo"}
+    return compare(spark, ref, new.withColumnsRenamed(names), keys=["name"], mapping=names).differences
+
+
+def _verdicts(keys: str, ref: DataFrame, new: DataFrame) -> DataFrame:
+    """Verdicts alone: the texts of nested values differ between engines. Exact matches count as matches of the column."""
+    made = compare(ref.sparkSession, ref, new, keys=[keys], include_equals=True).differences
+    exact = F.col("results") == C.EXACT
+    return made.select("id", F.lit("c").alias("column"), F.when(exact, C.MATCH).otherwise(F.col("results")).alias("results"))
+
+
+def diff_array_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("c"))
+    return _verdicts("k", rows, rows.withColumn("c", F.when(F.col("k") % 4 == 0, F.reverse("c")).otherwise(F.col("c"))))
+
+
+def diff_struct_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null field is no difference to a field that is absent; another value is."""
+    rows = table(spark, sf_dir, "events")
+    ref = rows.select(F.col("event_id").alias("k"), F.struct(F.col("event_type").alias("a"), F.lit(None).cast("int").alias("b")).alias("c"))
+    changed = F.when(F.col("event_id") % 6 == 0, F.concat("event_type", F.lit("!"))).otherwise(F.col("event_type"))
+    return _verdicts("k", ref, rows.select(F.col("event_id").alias("k"), F.struct(changed.alias("a")).alias("c")))
+
+
+def diff_map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps with entries in another order are equal."""
+    rows = table(spark, sf_dir, "events")
+    ref = rows.select(F.col("event_id").alias("k"), F.create_map(F.lit("t"), F.col("event_type"), F.lit("u"), F.col("user_id").cast("string")).alias("c"))
+    kind = F.when(F.col("event_id") % 6 == 0, F.lit("other")).otherwise(F.col("event_type"))
+    new = rows.where(F.col("event_id") % 8 != 7).select(F.col("event_id").alias("k"), F.create_map(F.lit("u"), F.col("user_id").cast("string"), F.lit("t"), kind).alias("c"))
+    return _verdicts("k", ref, new)
+
+
+def diff_binary_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), F.unhex(F.sha2("text", 256)).alias("c"))
+    return _verdicts("k", rows, rows.withColumn("c", F.when(F.col("k") % 5 == 0, F.reverse(F.lit("x")).cast("binary")).otherwise(F.col("c"))))
+
+
+def diff_mismatch_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mismatches_by_column(compared(spark, sf_dir, "ord", include_equals=True).differences)
+
+
+def dups_variations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(spark, sf_dir, "li").duplicates.where(F.col("variations") != "-").select("origin", "id", "variations")
+
+
+def dups_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(spark, sf_dir, "li").duplicates.groupBy("origin", "category").agg(F.count(F.lit(1)).alias("keys"))
+
+
+def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, _ = pair(spark, sf_dir, "li")
+    kinds = {f.name: f.dataType for f in ref.schema}
+    return ref.select(C.row_hash([C.row_text(F.col(c), kinds[c]) for c in (*KEYS["li"], *COLUMNS["li"])]).alias("hash"))
+
+
+def _ids(on_ref: bool, on_new: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        done = compared(spark, sf_dir, "ord", check_duplicates=False)
+        none = spark.createDataFrame([], "id string, results string")
+        flags = id_flags(done.ref, done.new, none, done.duplicates, done.config)
+        return flags.where(((F.col("n_ref") > 0) == on_ref) & ((F.col("n_new") > 0) == on_new)).select("id")
+
+    return run
+
+
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref, new = pair(spark, sf_dir, "cust")
+    changed = new.withColumn("nation", F.col("nation").cast("string")).withColumnRenamed("balance", "saldo").select("segment", "name", "nation", "saldo")
+    return compare(spark, ref, changed, keys=["name"]).schema_report.frame(spark)
+
+
+_FILTER = "price > 1000 AND status IN ('O', 'F')"
+
+QUERIES: dict[str, Query] = {
+    "diff_full": _diff("ord", include_equals=True),
+    "diff_no_equals": _diff("ord"),
+    "diff_composite_key": _diff("li"),
+    "diff_null_keys_match": _diff("cust", include_equals=True),
+    "diff_null_keys_strict": _diff("cust", include_equals=True, null_keys_match=False),
+    "diff_agg_min": _diff("li", overrides={"qty": "min", "ship": "min"}),
+    "diff_agg_first": _diff("li", overrides={"qty": "first_non_null", "flag": "first"}, first_order=("price", "part")),
+    "diff_priority": _diff("evt", priority=("e",)),
+    "diff_mapped_columns": diff_mapped_columns,
+    "diff_filtered": _diff("ord", ref_filter=_FILTER, new_filter=_FILTER),
+    "diff_partition_spec": _diff("cust", spec="nation=[1,3|5]"),
+    "diff_window_days": _diff("ord", **{f"{side}_spec": "odate=[" + ",".join(f"1995-03-{d}" for d in days) + "]" for side, days in (("ref", range(10, 21)), ("new", range(13, 18)))}),
+    "diff_constant_pruned": _diff("const"),
+    "diff_array_column": diff_array_column,
+    "diff_struct_column": diff_struct_column,
+    "diff_map_column": diff_map_column,
+    "diff_binary_column": diff_binary_column,
+    "diff_mismatch_by_column": diff_mismatch_by_column,
+    "dups_basic": _dups("ord"),
+    "dups_composite": _dups("li"),
+    "dups_priority": _dups("evt", priority=("e",)),
+    "dups_variations": dups_variations,
+    "dups_category_counts": dups_category_counts,
+    "row_hash": row_hash,
+    "summary_full": _summary("ord"),
+    "summary_composite": _summary("li"),
+    "summary_kpis": _summary("ord", "KPIS"),
+    "summary_matches": _summary("ord", "EXACT MATCH", "PARTIAL MATCH"),
+    "summary_gaps": _summary("ord", "GAP"),
+    "summary_dups": _summary("ord", "DUPS"),
+    "ids_only_ref": _ids(True, False),
+    "ids_only_new": _ids(False, True),
+    "ids_both": _ids(True, True),
+    "schema_report": schema_report,
+}
