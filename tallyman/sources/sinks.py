@@ -49,7 +49,14 @@ def write_table(df: DataFrame, prefix: str, kind: str, initiative: str, date: st
     if rows.limit(1).count() == 0:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (initiative='{quote(initiative)}', data_date_part='{quote(date)}')")
         return
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    # insertInto takes the mode from the session only
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(key, before)
 
 
 def export_summary(df: DataFrame, path: str) -> None:
