@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import forget, written
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -26,6 +26,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         least = written(least, f"{label}-least")
         far = least.select(F.col("node").alias("to"), F.col("to").alias("far"))
         points = written(least.join(far, "to").select("node", F.col("far").alias("to")), f"{label}-points")
+        old = (edges, least, points, labels)
         if labels is None:
             labels = points.select("node", F.col("to").alias("component"))
         else:
@@ -35,6 +36,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         left = edges.join(points.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").select("b", "x")
         both = left.join(points.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
         edges = written(both.where(F.col("x") != F.col("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{label}-edges")
+        forget(*old)
     if labels is None:
         labels = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as K
 from .components import connected_components
-from .shared import written
+from .shared import forget, written
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -214,6 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(full.groupBy("k1", "k2").agg(F.min(id_col).alias("first_id"), F.first("sketch").alias("sketch")), "classes")
     clusters = candidate_clusters(classes, params)
     found = connected_components(verified_links(docs, classes, clusters, id_col, text_col, params), "links")
+    forget(clusters)
     # only classes with links go through these joins
     linked = found.select(F.col("node").alias("k1"), "component").join(classes.select("k1", "first_id"), "k1")
     heads = linked.groupBy("component").agg(F.min("first_id").alias("head"))

@@ -94,7 +94,7 @@ def fitted_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxici
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score_texts(docs, fitted_toxicity(spark, docs, sf_dir), ["doc_id"])
-    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

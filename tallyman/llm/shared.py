@@ -28,11 +28,16 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes a table that `written` made, once nothing reads it any more."""
-    for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._table_path = path
+    return made
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes tables that `written` made, once nothing reads them any more."""
+    for df in tables:
+        path = getattr(df, "_table_path", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
