@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyman.llm import decontaminate, linededup, minhash, packing, queries, toxicity
-from tallyman.llm.shared import written
+from tallyman.llm.shared import forget, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, name.replace(" ", "-"), "snappy")
-    return docs
+    for name, stage in STAGES[:-1]:
+        before, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"), "snappy")
+        forget(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
