@@ -136,6 +136,18 @@ def tokenise(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SE
     return Words(data, texts, starts, ends, first, hashes)
 
 
+def tokenise_all(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SEPARATED, lower: bool = False) -> Words:
+    """As tokenise, piece by piece, so that only the result grows with the texts."""
+    parts = [tokenise(data[texts[a] : texts[b]], texts[a : b + 1] - texts[a], members, lower) for a, b in pieces(texts)]
+    if not parts:
+        return tokenise(data, texts, members, lower)
+    shift = np.cumsum([0, *(len(p.data) for p in parts)])
+    count = np.cumsum([0, *(len(p.hashes) for p in parts)])
+    joined = lambda name, by: np.concatenate([getattr(p, name) + o for p, o in zip(parts, by, strict=False)])
+    first = np.concatenate([p.first[:-1] + o for p, o in zip(parts, count, strict=False)] + [count[-1:]])
+    return Words(np.concatenate([p.data for p in parts]), texts, joined("starts", shift), joined("ends", shift), first, np.concatenate([p.hashes for p in parts]))
+
+
 def words_of(col: pa.Array, members: np.ndarray = BLANK_SEPARATED, lower: bool = False) -> Iterator[tuple[int, Words]]:
     """(index of the first text, Words) for consecutive pieces of a text column."""
     data, at = buffers(col)

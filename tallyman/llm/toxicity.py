@@ -33,7 +33,7 @@ from . import textkit as K
 @dataclass(frozen=True)
 class TrainingParams:
     #: Labelled rows of class 0 and of class 1 in the sample, at most.
-    rows: tuple[int, int] = (4000, 800)
+    rows: tuple[int, int] = (3000, 700)
     #: Longer texts are not taken into the sample (characters).
     longest: int = 40_000
     passes: int = 4
@@ -95,11 +95,11 @@ def word_inputs(words: K.Words, net: NetworkParams) -> tuple[Inputs, np.ndarray]
         key = np.zeros(total, np.uint64)
         for j in range(n):
             key = key * K.U64(0x100000001B3) + text[start + j]
-        held.append((K.mix64(key + K.U64(n << 40)) % K.U64(net.char_buckets)).astype(np.int64))
-        owner.append(np.repeat(np.arange(len(kept)), count))
+        held.append((K.mix64(key + K.U64(n << 40)) % K.U64(net.char_buckets)).astype(np.int32))
+        owner.append(np.repeat(np.arange(len(kept), dtype=np.int32), count))
     grams, own = np.concatenate(held), np.concatenate(owner)
     order = np.argsort(own, kind="stable")
-    first = np.searchsorted(own[order], np.arange(len(kept) + 1))
+    first = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(kept)))))
     return Inputs((kept % K.U64(net.word_buckets)).astype(np.int64), grams[order], first), index
 
 
@@ -272,8 +272,9 @@ def train(texts: list[str], labels: np.ndarray, net: NetworkParams = NetworkPara
         return model
     w, rng = model.weights, np.random.default_rng(how.seed)
     data, at = K.buffers(pa.array(texts, pa.string()))
-    words = K.tokenise(data, at, lower=True)
+    words = K.tokenise_all(data, at, lower=True)
     inputs, index = word_inputs(words, net)
+    index = index.astype(np.int32)
     starts, owner = window_grid(words.counts(), words.first, net.window, net.stride)
     # a fifth of the texts of either class is kept from the network, for the last fit
     aside = np.zeros(len(labels), bool)
