@@ -14,7 +14,7 @@ whose word sequence also starts in a document with a smaller id is removed.
    only the smallest can keep it.  That one goes to the window's shard, so a
    window in a third of all documents sends one entry per partition.  Shards
    group exactly and report the losing (document, position) pairs.
-3. Positions are gathered per row and joined with the texts.
+3. Positions are gathered per row, by buckets of rows, and joined with the texts.
 
 Defined results: null or empty text has no words.  Rows with a null id neither
 lose words nor cause removals.  Rows that share an id are judged one by one and
@@ -49,6 +49,8 @@ class SubstringParams:
     cells_per_window: float = 3.0
     #: Entries of step 2 that one shard is meant to hold.
     shard_entries: int = 1_000_000
+    #: Documents whose lost positions are gathered together.
+    bucket_docs: int = 2000
     #: Windows (step 1) or entries (step 2) that a task gathers before it passes them on.
     flush_windows: int = 4_000_000
     flush: int = 1_500_000
@@ -77,7 +79,6 @@ def _unpack(blob: bytes) -> np.ndarray:
 
 def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tuple[list[np.ndarray], int]:
     """The merged sketch's "2 or more" bits, one packed array per row, and log2 of its cells."""
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     bits = max(_CELL_BITS, min(params.max_bits, int(np.ceil(np.log2(max(2, params.cells_per_window * size / 6))))))
     per_row, width, flush = 1 << (bits - _CELL_BITS), params.width, params.flush_windows
@@ -139,7 +140,6 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
     for shard, packed in merged.toLocalIterator():
         row, i = divmod(shard, per_row)
         flags[row][i * step : (i + 1) * step] = np.frombuffer(zstandard.decompress(packed), np.uint8)
-    del spark
     return flags, bits
 
 
@@ -192,20 +192,32 @@ def _by_row(row: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
 
 
 _ENTRY = "shard int, doc long, row_key long, blob binary"
-_LOSS = "doc long, row_key long, blob binary"
 
 
-def _loss_batch(shard: int | None, docs: np.ndarray, keys: np.ndarray, found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+def _loss_batch(shard: int, docs: np.ndarray, keys: np.ndarray, found: list[tuple[int, bytes]]) -> pa.RecordBatch:
     at = [r for r, _ in found]
-    cols = [pa.array(docs[at], pa.int64()), pa.array(keys[at], pa.int64()), pa.array([b for _, b in found], pa.binary())]
-    names = ["doc", "row_key", "blob"]
-    if shard is not None:
-        cols, names = [pa.array(np.full(len(at), shard), pa.int32()), *cols], ["shard", *names]
-    return pa.RecordBatch.from_arrays(cols, names=names)
+    cols = [pa.array(np.full(len(at), shard), pa.int32()), pa.array(docs[at], pa.int64()), pa.array(keys[at], pa.int64()), pa.array([b for _, b in found], pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["shard", "doc", "row_key", "blob"])
+
+
+def _pack_losses(doc: np.ndarray, key: np.ndarray, pos: np.ndarray) -> bytes:
+    """Lost positions of some rows, sorted by row: ids, keys, counts, positions."""
+    cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
+    count = np.diff(np.append(cuts, len(doc))).astype(np.uint32)
+    body = doc[cuts].tobytes() + key[cuts].tobytes() + count.tobytes() + pos.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.uint32(len(cuts)).tobytes() + zstandard.compress(body, 1)
+
+
+def _unpack_losses(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, body = int(np.frombuffer(blob, np.uint32, 1)[0]), zstandard.decompress(blob[4:])
+    doc, key = np.frombuffer(body, np.int64, 2 * rows).reshape(2, rows)
+    count = np.frombuffer(body, np.uint32, rows, 16 * rows)
+    pos = np.ascontiguousarray(np.frombuffer(body, np.uint8, -1, 20 * rows).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.repeat(doc, count), np.repeat(key, count), pos
 
 
 def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: SubstringParams) -> DataFrame:
-    """doc, row_key, blobs: the packed starts of the windows that each row loses."""
+    """doc, row_key, blob: the packed starts of the windows that each row loses."""
     spark = docs.sparkSession
     flags, bits = repeated_bits(docs, text_col, params)
     # Entries of step 2: windows estimated repeated, at the worst all that set a bit twice.
@@ -266,50 +278,87 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
         if n:
             yield from out()
 
+    buckets = max(8, -(-size // params.bucket_docs))
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, base = None, [], 0
+        now, held, base, waiting = None, [], 0, 0
         docs_held: list[np.ndarray] = []
         keys_held: list[np.ndarray] = []
+        lost: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def shard_losses() -> None:
             one, two, row, pos = (np.concatenate(x) for x in zip(*held, strict=True))
             doc, key = np.concatenate(docs_held), np.concatenate(keys_held)
-            order, lost = _losers(one, two, doc[row])
-            gone = order[lost]
-            # one entry of a row from several blobs has several local numbers; they are joined by id and key later
-            if len(gone):
-                found = list(_by_row(row[gone], pos[gone]))
-                for i in range(0, len(found), 20_000):
-                    yield _loss_batch(None, doc, key, found[i : i + 20_000])
+            order, flag = _losers(one, two, doc[row])
+            gone = order[flag]
+            lost.append((doc[row[gone]], key[row[gone]], pos[gone].astype(np.uint32)))
+
+        def out() -> pa.RecordBatch:
+            doc, key, pos = (np.concatenate(x) for x in zip(*lost, strict=True))
+            lost.clear()
+            bucket = (K.mix64(doc.astype(np.uint64) + K.mix64(key.astype(np.uint64))) % K.U64(buckets)).astype(np.int64)
+            order = np.lexsort((pos, key, doc, bucket))
+            bucket, doc, key, pos = bucket[order], doc[order], key[order], pos[order]
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+            blobs = [_pack_losses(doc[a:b], key[a:b], pos[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
             for shard, doc, key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if shard < 0:
-                    yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([key], pa.int64()), pa.array([blob], pa.binary())], names=["doc", "row_key", "blob"])
-                    continue
-                if now is not None and shard != now:
-                    yield from out()
+                if now is not None and shard != now and held:
+                    shard_losses()
+                    waiting += len(lost[-1][2])
                     held, docs_held, keys_held, base = [], [], [], 0
                 now = shard
-                docs, keys, one, two, local, pos = _unpack_entries(blob)
-                docs_held.append(docs)
-                keys_held.append(keys)
-                held.append((one, two, local + base, pos))
-                rows = len(docs)
-                base += rows
+                if shard < 0:  # lost already
+                    pos = _unpack(blob).astype(np.uint32)
+                    lost.append((np.full(len(pos), doc, np.int64), np.full(len(pos), key, np.int64), pos))
+                    waiting += len(pos)
+                else:
+                    docs, keys, one, two, local, pos = _unpack_entries(blob)
+                    docs_held.append(docs)
+                    keys_held.append(keys)
+                    held.append((one, two, local + base, pos))
+                    base += len(docs)
+                if waiting > flush:
+                    yield out()
+                    waiting = 0
         if held:
-            yield from out()
+            shard_losses()
+        if lost:
+            yield out()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out() -> pa.RecordBatch:
+            doc, key, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((pos, key, doc))
+            doc, key, pos = doc[order], key[order], pos[order]
+            cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
+            blobs = [_pack(pos[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(doc)), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(doc[cuts], pa.int64()), pa.array(key[cuts], pa.int64()), pa.array(blobs, pa.binary())], names=["doc", "row_key", "blob"])
+
+        for batch in batches:
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is not None and bucket != now:
+                    yield out()
+                    held = []
+                now = bucket
+                held.append(_unpack_losses(blob))
+        if held:
+            yield out()
 
     entries = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row_key"), F.col(text_col)).mapInArrow(candidates, _ENTRY)
-    settled = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(settle, _LOSS)
-    return settled.groupBy("doc", "row_key").agg(F.collect_list("blob").alias("blobs"))
+    settled = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(settle, "bucket int, blob binary")
+    return settled.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "doc long, row_key long, blob binary")
 
 
 def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SubstringParams = SubstringParams(), with_text: bool = True) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256, and the kept words (joined by one space) if with_text."""
     losses = removed_positions(docs, id_col, text_col, params).withColumnsRenamed({"doc": "_doc", "row_key": "_key"})
     texts = docs.select(id_col, text_col, F.xxhash64(text_col).alias("_row"))
-    both = texts.join(losses, (F.col(id_col) == F.col("_doc")) & (F.col("_row") == F.col("_key")), "left").select(id_col, text_col, "blobs")
+    both = texts.join(losses, (F.col(id_col) == F.col("_doc")) & (F.col("_row") == F.col("_key")), "left").select(id_col, text_col, F.col("blob").alias("_blob"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     width = params.width
@@ -317,11 +366,11 @@ def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: st
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_gone, digest, kept = [], [], [], []
-            for text, blobs in zip(K.text_column(batch, text_col).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, blob in zip(K.text_column(batch, text_col).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = text.encode().split()
                 n_words.append(len(words))
-                if blobs:
-                    gone = K.covered(len(words), np.concatenate([_unpack(b) for b in blobs]), width)
+                if blob:
+                    gone = K.covered(len(words), _unpack(blob), width)
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 n_gone.append(n_words[-1] - len(words))
                 left = b" ".join(words)

@@ -119,7 +119,7 @@ def test_op5_full_sketch_and_many_partitions(spark):
     """A sketch so small that it says "repeated" of everything, null and repeated ids, flushes inside a partition."""
     rows = [r for r in cases.awkward_texts() if r[0] != 126] + [(None, cases.awkward_texts()[6][1])] * 2 + [(100, "a b " * 20), (100, "a b " * 30), (7, "a b " * 9)]
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
-    params = substring.SubstringParams(max_bits=22, shard_entries=10, flush=50, flush_windows=70)
+    params = substring.SubstringParams(max_bits=22, shard_entries=10, flush=50, flush_windows=70, bucket_docs=2)
     got = cases.rows_of(substring.deduplicate_substrings(docs, params=params), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted(got, key=lambda r: str(r)) == sorted(brute.op5(rows), key=lambda r: str(r))
     assert substring.deduplicate_substrings(docs.limit(0)).count() == 0
