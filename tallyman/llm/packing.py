@@ -6,6 +6,8 @@ length, checksum) are dealt into groups of bounded size by a hash of their
 content, and each group is packed in one pass by a packer with a fixed number
 of open bins: a bitset keyed by free space finds the tightest bin that fits in
 a few machine operations, and when all bins are open the fullest closes first.
+Pieces arrive in batches of a fixed size, the longest of a batch first, which
+leaves about a thousandth of the places empty instead of a hundredth.
 More groups, not larger ones, take up more data; each leaves its last open bins
 part-filled, a fraction of a percent of its sequences.
 
@@ -41,6 +43,8 @@ class PackingParams:
     #: Strings of the tokenizer that always become one id.
     special: tuple[tuple[str, int], ...] = (("<|endoftext|>", 50256),)
     open_bins: int = 1024
+    #: Pieces that arrive together; the longest of them are placed first.
+    lookahead: int = 4096
     #: Documents that one packing group is meant to hold.
     group_docs: int = 16384
     #: Words whose ids a worker keeps at hand.
@@ -166,11 +170,14 @@ def pack(pieces: DataFrame, n_docs: int, id_col: str = "doc_id", params: Packing
     """Adds sequence_id and offset to pieces."""
     groups = max(1, -(-n_docs // params.group_docs))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    names, capacity, open_bins = pieces.columns, params.capacity, params.open_bins
+    names, capacity, open_bins, ahead = pieces.columns, params.capacity, params.open_bins, params.lookahead
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.drop_columns(["_group"]).sort_by([("_order", "ascending"), (id_col, "ascending"), ("piece", "ascending")])
-        bins, offsets, _ = best_fit(table["length"].to_pylist(), capacity, open_bins)
+        lengths = table["length"].to_numpy()
+        batches = np.arange(len(lengths)) // ahead
+        table, lengths = table.take(order := np.lexsort((-lengths, batches))), lengths[order]
+        bins, offsets, _ = best_fit(lengths.tolist(), capacity, open_bins)
         ids = np.array(bins, np.int64) + (key[0].as_py() << 40)
         return table.select(names).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets, pa.int64()))
 

@@ -145,7 +145,7 @@ def test_op7(spark, folder):
                 at += length
             assert at <= 2048
         least = -(-sum(r[3] for r in out) // 2048)
-        assert len(by) <= 1.1 * least + 2
+        assert len(by) <= 1.02 * least + 1
 
 
 def test_op7_special_strings_and_white_space():
