@@ -82,8 +82,8 @@ def test_components(spark):
 
 
 def line_shingles(line, p):
-    starts = [i for i, c in enumerate(line) if (c != " " and (i == 0 or line[i - 1] == " ")) or (i >= p.dense and " " not in line[i - p.dense : i])]
-    return {line[i : i + p.size] for i in starts if i < len(line)}
+    starts = [i for i, c in enumerate(line) if c != " " and (i == 0 or line[i - 1] == " " or (i >= p.dense and " " not in line[i - p.dense : i]))]
+    return {line[i : i + p.size] for i in starts}
 
 
 def brute_lines(rows, p):
