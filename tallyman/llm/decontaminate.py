@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as K
+from .shared import ship
 
 
 @dataclass(frozen=True)
@@ -208,6 +209,7 @@ _SPANS = "n_words long, spans array<struct<start:long,end:long>>, items array<st
 
 def _with_block(docs: DataFrame, keep: list[str], text_col: str, phrases: Phrases | None, params: DecontaminationParams, first: bool) -> DataFrame:
     """docs with n_words, spans and items; those of earlier blocks, if any, are merged in."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
     own = [c for c in docs.columns if c in keep or c == text_col]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own) + ", " + _SPANS

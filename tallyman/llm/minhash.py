@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as K
 from .components import connected_components
-from .shared import forget, written
+from .shared import forget, ship, written
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -209,6 +209,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, id_
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept."""
+    ship(docs.sparkSession)
     named = written(sketches(docs, id_col, text_col, params), "sketches")
     full = named.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
     classes = written(full.groupBy("k1", "k2").agg(F.min(id_col).alias("first_id"), F.first("sketch").alias("sketch")), "classes")

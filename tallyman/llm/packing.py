@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit as K
+from .shared import ship
 
 
 @dataclass(frozen=True)
@@ -105,6 +106,7 @@ class Encoder:
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: PackingParams = PackingParams(), with_ids: bool = False) -> DataFrame:
     """Pieces of every row: id, piece, start, length, ids_crc32, and the ids (packed uint32) if with_ids."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
@@ -168,6 +170,7 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
 
 def pack(pieces: DataFrame, n_docs: int, id_col: str = "doc_id", params: PackingParams = PackingParams()) -> DataFrame:
     """Adds sequence_id and offset to pieces."""
+    ship(pieces.sparkSession)
     groups = max(1, -(-n_docs // params.group_docs))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     names, capacity, open_bins, ahead = pieces.columns, params.capacity, params.open_bins, params.lookahead

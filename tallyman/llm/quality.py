@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import textkit as K
+from .shared import ship
 
 _BASE = 0x9FB21C651E98DF25
 _SYMBOLS = K._lut(b"#*$%&|<>")
@@ -108,6 +109,7 @@ def _fields(rules: RepetitionRules) -> list[tuple[str, T.DataType]]:
 
 def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: RepetitionRules = RepetitionRules()) -> DataFrame:
     """One row per input row: id, measures, base_failed, kept."""
+    ship(docs.sparkSession)
     fields = _fields(rules)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, t) for c, t in fields)])
     kinds = {T.LongType: pa.int64(), T.DoubleType: pa.float64(), T.BooleanType: pa.bool_()}

@@ -7,14 +7,31 @@ lost executor never loses an intermediate result.  Where the setting is absent
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each Spark application, so that their Python workers can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyman_shipped", False):
+        return
+    package = Path(__file__).parent.parent
+    handle, path = tempfile.mkstemp(prefix="tallyman-", suffix=".zip")
+    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as pack:
+        for source in sorted(package.rglob("*.py")):
+            pack.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)  # Spark's own file server hands it out
+    context._tallyman_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get(KEY, None) or spark.conf.get(KEY, None)
     if not found:

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as K
+from .shared import ship
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _CELL_BITS = 22  # cells of one shard of the sketch
@@ -356,6 +357,7 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
 
 def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SubstringParams = SubstringParams(), with_text: bool = True) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256, and the kept words (joined by one space) if with_text."""
+    ship(docs.sparkSession)
     losses = removed_positions(docs, id_col, text_col, params).withColumnsRenamed({"doc": "_doc", "row_key": "_key"})
     texts = docs.select(id_col, text_col, F.xxhash64(text_col).alias("_row"))
     both = texts.join(losses, (F.col(id_col) == F.col("_doc")) & (F.col("_row") == F.col("_key")), "left").select(id_col, text_col, F.col("blob").alias("_blob"))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as K
+from .shared import ship
 
 
 @dataclass(frozen=True)
@@ -358,6 +359,7 @@ def training_sample(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id"
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns `keep` of every row, and its score."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
 
