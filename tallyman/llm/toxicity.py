@@ -6,7 +6,7 @@ attention pools their states, and a linear layer scores the window.  A text's
 score is that of its highest window, over all overlapping windows of the whole
 text; a final one-dimensional fit turns it into a probability.
 
-Training runs on the driver over a sample bounded by `TrainingParams`; windows
+Training runs in one task over a sample bounded by `TrainingParams`; windows
 of a toxic text that the network, after its first pass, finds harmless are left
 out of the next pass (a toxic text needs only one toxic window).  Scoring is a
 map without a shuffle; vectors are made once for each distinct word of a block.
@@ -19,6 +19,7 @@ inputs of a score.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -342,19 +343,17 @@ def train(texts: list[str], labels: np.ndarray, net: NetworkParams = NetworkPara
     return model
 
 
-def training_sample(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: TrainingParams = TrainingParams()) -> tuple[list[str], np.ndarray]:
-    """At most rows[0] and rows[1] texts of the classes, those with the least hash of their id among the labelled rows."""
+def training_sample(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: TrainingParams = TrainingParams()) -> DataFrame | None:
+    """_id, _text, _label: at most rows[0] and rows[1] texts of the classes, those with the least hash of their id among the labelled rows."""
     spark = docs.sparkSession
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(how.seed))
     marked = labelled.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"), order.alias("_order"))
     ids = [r for label in (0, 1) for r in marked.where(F.col("_label") == label).orderBy("_order", "_id").limit(how.rows[label]).collect()]
     if not ids:
-        return [], np.zeros(0)
+        return None
     kind = docs.schema[id_col].dataType
     chosen = F.broadcast(spark.createDataFrame([(r["_id"], r["_label"]) for r in ids], f"_id {kind.simpleString()}, _label int").dropDuplicates(["_id"]))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text").between(1, how.longest)).join(chosen, "_id").select("_id", "_text", "_label").collect()
-    rows = sorted(map(tuple, rows))[: sum(how.rows)]
-    return [r[1] for r in rows], np.array([r[2] for r in rows], float)
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text").between(1, how.longest)).join(chosen, "_id").select("_id", "_text", "_label")
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -378,4 +377,17 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str =
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", net: NetworkParams = NetworkParams(), how: TrainingParams = TrainingParams()) -> Model:
-    return train(*training_sample(docs, labelled, id_col, text_col, label_col, how), net, how)
+    """The network, trained in one task on the bounded sample; only its weights come to the driver."""
+    ship(docs.sparkSession)
+    sample = training_sample(docs, labelled, id_col, text_col, label_col, how)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            rows += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        rows = sorted(rows)[: sum(how.rows)]
+        model = train([r[1] for r in rows], np.array([r[2] for r in rows], float), net, how)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = [] if sample is None else sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else train([], np.zeros(0), net, how)
