@@ -7,7 +7,7 @@ lost executor never loses an intermediate result.  Where the setting is absent
 
 from __future__ import annotations
 
-import os
+import io
 import tempfile
 import uuid
 import zipfile
@@ -23,12 +23,16 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(context, "_tallyman_shipped", False):
         return
-    package = Path(__file__).parent.parent
-    handle, path = tempfile.mkstemp(prefix="tallyman-", suffix=".zip")
-    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as pack:
+    package, held = Path(__file__).parent.parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as pack:
         for source in sorted(package.rglob("*.py")):
             pack.write(source, source.relative_to(package.parent))
-    context.addPyFile(path)  # Spark's own file server hands it out
+    path = f"{shared_folder(spark)}/{package.name}-{uuid.uuid4().hex}.zip"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(held.getvalue())
+    out.close()
+    context.addPyFile(path)
     context._tallyman_shipped = True
 
 
