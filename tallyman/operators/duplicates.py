@@ -33,16 +33,13 @@ def duplicates(ref: DataFrame, new: DataFrame, config: CompareConfig, columns: l
     rest = [c for c in columns if c not in config.priority]
     keys, texts = [f"k{i}" for i in range(len(config.keys))], [f"t{i}" for i in range(len(rest))]
     both = _side(ref, ref, config, columns, "ref").unionByName(_side(new, ref, config, columns, "new"))
-    hashed = both.withColumn("hash", C.row_hash([F.coalesce(F.col(k), F.lit(C.NULL_MARK)) for k in keys] + [F.col(t) for t in texts]))
+    # rows with equal texts are rows with equal hashes; the texts themselves group without a sort
     copies = F.lit(1) if config.priority else F.count(F.lit(1))
-    distinct = hashed.groupBy("origin", *keys, "hash").agg(copies.cast("long").alias("copies"), *(F.first(t).alias(t) for t in texts))
-    # the values of a column matter only where rows of a key differ
-    grouped = distinct.groupBy("origin", *keys).agg(
-        F.sum("copies").alias("occurrences"),
-        F.count(F.lit(1)).alias("hashes"),
-        *(F.collect_set(t).alias(t) for t in texts),
-    )
-    grouped = grouped.where(F.col("occurrences") >= 2)
+    distinct = both.groupBy("origin", *keys, *texts).agg(copies.cast("long").alias("copies"))
+    # a key's rows are sorted together once: singles go before any set of values is made
+    of_key = Window.partitionBy("origin", *keys)
+    counted = distinct.withColumns({"occurrences": F.sum("copies").over(of_key), "hashes": F.count(F.lit(1)).over(of_key)}).where(F.col("occurrences") >= 2)
+    grouped = counted.groupBy("origin", *keys).agg(F.max("occurrences").alias("occurrences"), F.max("hashes").alias("hashes"), *(F.collect_set(t).alias(t) for t in texts))
     grouped = grouped.withColumn("id", C.composite_id([F.col(k) for k in keys]))
     own = Window.partitionBy(*keys)
     on_ref, on_new = F.bool_or(F.col("origin") == "ref").over(own), F.bool_or(F.col("origin") == "new").over(own)
