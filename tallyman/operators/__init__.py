@@ -1 +1 @@
-
+"""Operators of a comparison."""

@@ -1 +1 @@
-
+"""Whole comparisons, and the registered queries."""

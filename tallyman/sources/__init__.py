@@ -1 +1 @@
-
+"""Sources, specs and sinks."""

@@ -1 +1 @@
-
+"""No streams: the operator inventory has none."""
