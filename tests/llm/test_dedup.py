@@ -163,6 +163,36 @@ def test_op3_empty_null_and_repeated(spark):
     assert got == sorted([(None, 1), (3, 0), (3, 0), (4, 1)], key=str)
 
 
+def run_shingles(line, p):
+    """Those of line_shingles, and one after every `size` characters of a run."""
+    inside = {m.start() + k for m in re.finditer("[^ ]+", line) for k in range(0, min(p.dense, len(m[0])), p.size)}
+    return line_shingles(line, p) | {line[i : i + p.size] for i in inside}
+
+
+def test_op3_every_character_is_in_a_shingle(spark):
+    pairs = [
+        ("https://example.com/a", "https://example.com/b"),
+        ("#include<iostream>", "#include<iostring.h>"),
+        (" return self.configuration", " return self.configurable_thing"),
+        ("這是一個沒有空格的句子它說的是貓", "這是一個沒有空格的句子它說的是狗"),
+        ("a" * 12 + "b" * 12 + "c" * 2, "a" * 12 + "d" * 12 + "c" * 2),
+        ("abcdefghijklmnopq tail", "abcdefghijklmnopr tail"),
+    ]
+    rows = [(i, line) for i, line in enumerate(line for pair in pairs for line in pair)]
+    p = linededup.LineParams()
+    # whatever character changes, a shingle changes, wherever the line's runs end
+    texts = [line for _, line in rows] + [line for _, text in fuzzy_rows()[:20] for line in (text or "").split("\n") if line.strip()][:40]
+    changed = [(t, t[:i] + "\U0001f600" + t[i + 1 :]) for t in texts for i in range(len(t)) if t[i] != " "]
+    df = spark.createDataFrame(changed, "x string, y string")
+    assert df.where(linededup._shingles(F.col("x"), p) == linededup._shingles(F.col("y"), p)).count() == 0
+    sizes = df.select("x", F.size(linededup._shingles(F.col("x"), p)).alias("n")).distinct().collect()
+    assert all(r.n == len(run_shingles(r.x, p)) for r in sizes)
+    got = cases.rows_of(linededup.deduplicate_lines(spark.createDataFrame(rows, DOCS)), "doc_id", "n_removed")
+    for x, y in pairs:
+        assert 100 * len(run_shingles(x, p) & run_shingles(y, p)) < p.percent * len(run_shingles(x, p) | run_shingles(y, p))
+    assert all(n == 0 for _, n in got)
+
+
 def brute_revisits(records):
     def key(url):
         if url is None:
