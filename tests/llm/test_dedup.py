@@ -169,6 +169,43 @@ def run_shingles(line, p):
     return line_shingles(line, p) | {line[i : i + p.size] for i in inside}
 
 
+def bucket_links(spark, lines, p):
+    """Lines gone when every pair of each bucket is compared."""
+    table = spark.createDataFrame([(x, x) for x in lines], "address string, line string")
+    banded = linededup._banded(table.withColumn("hashes", linededup._shingles(F.col("line"), p)), p).select("line", "bands").collect()
+    buckets = {}
+    for r in banded:
+        for b in r.bands:
+            buckets.setdefault(b, []).append(r.line)
+    sets, parent = {x: run_shingles(x, p) for x in lines}, {x: x for x in lines}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in {(x, y) for held in buckets.values() for x in held for y in held if x < y}:
+        if 100 * len(sets[x] & sets[y]) >= p.percent * len(sets[x] | sets[y]):
+            parent[root(x)] = root(y)
+    return len(lines) - len({root(x) for x in lines})
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_op3_every_pair_of_a_bucket(spark, block):
+    """Variants of one line: most pairs of a bucket are past its two leaders."""
+    rng = random.Random(5)
+    base = [f"word{i}" for i in range(40)]
+    lines = set()
+    for n in range(150):
+        line = list(base)
+        for _ in range(rng.randrange(4)):
+            line[rng.randrange(len(line))] = f"other{n}x{rng.randrange(10**6)}"
+        lines.add(" ".join(line))
+    p = linededup.LineParams(block=block)
+    got = linededup.line_report(spark.createDataFrame(list(enumerate(sorted(lines))), DOCS), params=p).agg(F.sum("n_removed")).first()[0]
+    assert got == bucket_links(spark, sorted(lines), p)
+
+
 def test_op3_every_character_is_in_a_shingle(spark):
     pairs = [
         ("https://example.com/a", "https://example.com/b"),
