@@ -172,7 +172,7 @@ def run_shingles(line, p):
 def bucket_links(spark, lines, p):
     """Lines gone when every pair of each bucket is compared."""
     table = spark.createDataFrame([(x, x) for x in lines], "address string, line string")
-    banded = linededup._banded(table.withColumn("hashes", linededup._shingles(F.col("line"), p)), p).select("line", "bands").collect()
+    banded = linededup._banded(table, p).withColumnRenamed("address", "line").collect()
     buckets = {}
     for r in banded:
         for b in r.bands:
@@ -206,6 +206,23 @@ def test_op3_every_pair_of_a_bucket(spark, block):
     assert got == bucket_links(spark, sorted(lines), p)
 
 
+@pytest.mark.parametrize("least, union", [(80, 5), (83, 6), (80, 10), (90, 10), (80, 20), (80, 40)])
+def test_op3_short_lines_meet(spark, least, union):
+    """Pairs that differ in a few of `union` shingles share a bucket as often as independent values do."""
+    rng, p, pairs = random.Random(union * least), linededup.LineParams(), 1000
+    lost = union - -(-least * union // 100)
+    rows = []
+    for n in range(pairs):
+        words = [f"{rng.randrange(10**11):012d}" for _ in range(union)]
+        rows += [(f"{n} x", " ".join(words)), (f"{n} y", " ".join(words[lost:]))]
+    df = spark.createDataFrame(rows, "address string, line string")
+    bands = {r.address: set(r.bands) for r in linededup._banded(df, p).collect()}
+    missed = sum(not bands[f"{n} x"] & bands[f"{n} y"] for n in range(pairs)) / pairs
+    expected = (1 - ((union - lost) / union) ** p.rows) ** p.bands
+    print(f"{least} % of {union} shingles: missed {missed:.4f}, expected {expected:.4f}")
+    assert missed <= expected + 4 * (expected / pairs) ** 0.5 + 0.002
+
+
 def test_op3_every_character_is_in_a_shingle(spark):
     pairs = [
         ("https://example.com/a", "https://example.com/b"),
