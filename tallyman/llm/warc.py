@@ -13,8 +13,9 @@ with a third of all records is thus dealt over `slices` tasks.
 
 Defined results: null URL or time: never resolved, and never a source.  Of
 equal times the greater id is later; a response at the very time of a revisit
-is not earlier.  Repeated rows stay.  A record that is no revisit passes as it
-is, with itself as source.  Further columns are ignored.
+is not earlier.  Repeated rows stay.  A record that is no revisit (of another
+kind, or of none) passes as it is, with itself as source and its kind, or
+`other` where it has none, as verdict.  Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,8 +60,10 @@ def merged_headers(stored: Column, update: Column) -> Column:
 def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     """records (id, url, time long, kind, headers map, digest) to id, kind, verdict, source_id, headers, digest.
 
-    kind is `response` or `revisit`; header names are in lower case.
+    Only records of kind `revisit` are resolved, and only those of kind
+    `response` are sources; header names are in lower case.
     """
+    revisit = F.col("kind").eqNullSafe("revisit")
     base = records.select("id", canonical_url(F.col("url")).alias("key"), "time", "kind", "headers", "digest")
     cuts = base.agg(F.percentile_approx("time", [i / slices for i in range(1, slices)], 1000)).first()[0] or []
     cuts = sorted(set(cuts))
@@ -77,9 +80,9 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     handed = handed.select("key", "slice", "earlier")
     # inside a slice: responses strictly before the revisit's time
     inside = Window.partitionBy("key", "slice").orderBy("time", F.when(F.col("kind") == "response", 1).otherwise(0), "id").rowsBetween(Window.unboundedPreceding, -1)
-    own = usable.withColumn("near", F.last(full, ignorenulls=True).over(inside)).where(F.col("kind") != "response")
+    own = usable.withColumn("near", F.last(full, ignorenulls=True).over(inside)).where(revisit)
     found = own.join(handed, ["key", "slice"], "left").withColumn("source", F.coalesce("near", "earlier"))
-    lost = base.where((F.col("key").isNull() | F.col("time").isNull()) & (F.col("kind") != "response"))
+    lost = base.where((F.col("key").isNull() | F.col("time").isNull()) & revisit)
     found = found.unionByName(lost.withColumn("source", F.lit(None).cast(found.schema["source"].dataType)), allowMissingColumns=True)
     verdict = _verdict(F.col("source"))
     done = found.withColumn("verdict", verdict)
@@ -92,7 +95,7 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
         F.when(ok, merged_headers(F.col("source.headers"), F.col("headers"))).otherwise(F.col("headers")).alias("headers"),
         F.when(ok, F.col("source.digest")).alias("digest"),
     )
-    passed = base.where(F.col("kind") == "response").select("id", "kind", F.lit("response").alias("verdict"), F.col("id").alias("source_id"), "headers", "digest")
+    passed = base.where(~revisit).select("id", "kind", F.coalesce("kind", F.lit("other")).alias("verdict"), F.col("id").alias("source_id"), "headers", "digest")
     return revisits.unionByName(passed)
 
 

@@ -304,3 +304,16 @@ def test_op6_tables_and_empty(spark):
     rows = cases.rows_of(records, "id", "url", "time", "kind", "headers", "digest")
     got = {r.record_id: (r.verdict, r.source_id, r.digest) for r in queries.op6_warc_revisits(spark, cases.DATA).collect()}
     assert got == {k: (v[0], v[1], v[3]) for k, v in brute_revisits(rows).items()}
+
+
+def test_op6_other_kinds_pass(spark):
+    tag = {"etag": "1"}
+    rows = [(1, "a.com", 1, "response", tag, "p"), (2, "a.com", 5, None, tag, None), (3, "a.com", 6, "metadata", tag, "q"), (4, None, None, None, tag, None), (5, "a.com", 7, "revisit", tag, None)]
+    got = sorted(cases.rows_of(warc.resolve_revisits(spark.createDataFrame(rows, RECORDS)), "id", "kind", "verdict", "source_id", "headers", "digest"))
+    assert got == [
+        (1, "response", "response", 1, tag, "p"),
+        (2, None, "other", 2, tag, None),
+        (3, "metadata", "metadata", 3, tag, "q"),
+        (4, None, "other", 4, tag, None),
+        (5, "revisit", "resolved", 1, tag, "p"),
+    ]
