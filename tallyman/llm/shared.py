@@ -14,6 +14,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 KEY = "spark.checkpoint.dir"
 
@@ -54,6 +55,26 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return made
 
 
+def table_bytes(df: DataFrame) -> int | None:
+    """Bytes on disk of a table that `written` made; None for other frames."""
+    path = getattr(df, "_table_path", None)
+    if not path:
+        return None
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+#: Bytes on disk up to which a written table may be broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def bounded(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """df with a broadcast hint if its written table (or `table`, of which it is a view) is small; else df itself, for a shuffled join."""
+    size = table_bytes(df if table is None else table)
+    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Deletes tables that `written` made, once nothing reads them any more."""
     for df in tables:
