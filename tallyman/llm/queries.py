@@ -19,20 +19,26 @@ def op1_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.findings_by_path(table(spark, sf_dir, "documents"), ["doc_id"])
-    spans = secrets.spans_text(F.col("findings"))
-    kinds = [secrets.count_kind(F.col("findings"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return found.select("doc_id", *kinds, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+    """Two commits go through one ledger: the older half of the paths, then all of them, of which only unseen contents are scanned."""
+    docs = table(spark, sf_dir, "documents")
+    ends = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    older = docs.where(F.col("doc_id") <= ((ends.lo or 0) + (ends.hi or 0)) // 2)
+    ledger = secrets.updated(secrets.updated(None, older), docs)
+    found = secrets.findings_by_path(docs, ["doc_id"], ledger)
+    base = secrets.spans_text(F.col("findings"), tuple(r.kind for r in secrets.BASE_RULES))
+    kinds = [secrets.count_kind(F.col("findings"), r.kind).alias(f"n_{r.kind}") for r in secrets.RULES]
+    return found.select("doc_id", *kinds, F.sha2(base, 256).alias("base_sha256"), secrets.spans_text(F.col("findings")).alias("spans"))
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    turns = F.array(*(F.struct(F.lit(-7).alias("conv_id"), F.lit(i).alias("turn"), F.lit(role).alias("role"), F.lit(control).alias("text")) for i, role in enumerate(("user", "assistant"))))
+    extra = spark.range(1, numPartitions=1).select(F.inline(turns)).select(*(F.col(f.name).cast(f.dataType) for f in rows.schema))
     made = chat.format_conversations(rows.unionByName(extra))
-    turns = chat.read_back(F.col("formatted"))
+    said = chat.read_back(F.col("formatted"))
     loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
-    read = made.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss"))
+    read = made.select("conv_id", "formatted", said.alias("turns"), loss.alias("loss"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",

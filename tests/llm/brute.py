@@ -46,14 +46,21 @@ KINDS = (
 )
 
 
-def op2(docs):
+MORE_KINDS = (
+    ("pem", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), 0, 20),
+    ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), 0, 24),
+    ("prefixed", re.compile(r"(?:gh[opsu]_|xox[abps]-|sk_live_)[A-Za-z0-9-]+"), 0, 20),
+)
+
+
+def op2(docs, kinds=KINDS):
     out = {}
     for doc_id, text in docs:
         found = []
-        for order, (kind, pattern, group, least) in enumerate(KINDS):
+        for order, (kind, pattern, group, least) in enumerate(kinds):
             found += [(m.start(), order, kind, m.end()) for m in pattern.finditer(text or "") if len(m[group]) >= least]
         spans = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
-        out[doc_id] = (*(sum(x[2] == k for x in found) for k, *_ in KINDS), sha(spans), spans)
+        out[doc_id] = (*(sum(x[2] == k for x in found) for k, *_ in kinds), sha(spans), spans)
     return out
 
 
