@@ -128,7 +128,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             arrays = [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=False))]
             yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(K.tidy(run), schema)
 
 
 def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[int], list[int], int]:

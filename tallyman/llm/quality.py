@@ -121,4 +121,4 @@ def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 ids = batch.column(0).slice(lo, words.n_texts)
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(got[c]).cast(kinds[type(t)]) for c, t in fields)], names=[id_col, *(c for c, _ in fields)])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(K.tidy(run), schema)

@@ -134,8 +134,8 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
         if now is not None:
             yield out()
 
-    cells = docs.select(text_col).mapInArrow(sketch, "shard int, once binary, twice binary")
-    merged = cells.repartition("shard").sortWithinPartitions("shard").mapInArrow(merge, "shard int, bits binary")
+    cells = docs.select(text_col).mapInArrow(K.tidy(sketch), "shard int, once binary, twice binary")
+    merged = cells.repartition("shard").sortWithinPartitions("shard").mapInArrow(K.tidy(merge), "shard int, bits binary")
     flags = [np.zeros(1 << (bits - 3), np.uint8) for _ in _BASES]
     step = 1 << (_CELL_BITS - 3)
     for shard, packed in merged.toLocalIterator():
@@ -350,9 +350,9 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
         if held:
             yield out()
 
-    entries = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row_key"), F.col(text_col)).mapInArrow(candidates, _ENTRY)
-    settled = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(settle, "bucket int, blob binary")
-    return settled.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "doc long, row_key long, blob binary")
+    entries = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row_key"), F.col(text_col)).mapInArrow(K.tidy(candidates), _ENTRY)
+    settled = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(K.tidy(settle), "bucket int, blob binary")
+    return settled.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(K.tidy(gather), "doc long, row_key long, blob binary")
 
 
 def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SubstringParams = SubstringParams(), with_text: bool = True) -> DataFrame:
@@ -382,4 +382,4 @@ def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: st
             cols = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(digest, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string())] * with_text, names=[id_col, "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text)
 
-    return both.mapInArrow(cut, schema)
+    return both.mapInArrow(K.tidy(cut), schema)

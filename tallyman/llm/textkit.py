@@ -9,7 +9,10 @@ word hashes.  Everything is deterministic across processes and machines.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-#: Bytes of text that one vectorised pass handles (a longer single text is one pass).
+#: Bytes of text that one vectorised pass handles; a longer single text takes several.
 BLOCK_BYTES = 2 << 20
 
 _BYTE_TABLE = np.random.default_rng(20240611).integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
@@ -41,6 +44,21 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after whose last batch a Python worker (which Spark uses again) gives free memory back."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply) over a uint64 array."""
     x = x ^ (x >> U64(33))
@@ -106,46 +124,61 @@ def pieces(at: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]
         lo = min(hi, n)
 
 
-def tokenise(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SEPARATED, lower: bool = False) -> Words:
-    """Words (maximal runs of member bytes inside one text) and their hashes."""
-    if lower:
-        data = _LOWER[data]
+def _runs(data: np.ndarray, borders: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the maximal runs of member bytes; none crosses a border."""
     n = len(data)
     inside = members[data]
-    cuts = texts[:-1]
-    cuts = cuts[cuts < n]
-    before = np.empty(n, bool)
-    before[1:] = inside[:-1]
-    before[cuts] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.empty(n, bool)
-    after[:-1] = inside[1:]
-    last = texts[1:] - 1
-    after[last[last >= 0]] = False
-    ends = np.flatnonzero(inside & ~after) + 1
-    first = np.searchsorted(starts, texts)
-    if len(starts):
-        length = ends - starts
-        place = np.arange(n) - np.repeat(np.append(0, starts), np.diff(np.concatenate(([0], starts, [n]))))
-        place[~inside] = 0
-        values = _BYTE_TABLE[data] * powers(_WORD_BASE, int(length.max()))[place]
-        values[~inside] = 0
-        hashes = mix64(np.add.reduceat(values, starts) + length.astype(np.uint64) * _LEN_SALT)
+    borders = borders[(borders > 0) & (borders < n)]
+    edge = np.empty(n + 1, bool)
+    edge[0], edge[n] = True, True
+    edge[1:n] = ~inside[:-1] | ~inside[1:]
+    edge[borders] = True
+    starts = np.flatnonzero(inside & edge[:-1])
+    ends = np.flatnonzero(inside & edge[1:]) + 1
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64)
+    length = ends - starts
+    place = np.arange(n) - np.repeat(np.append(0, starts), np.diff(np.concatenate(([0], starts, [n]))))
+    place[~inside] = 0
+    values = _BYTE_TABLE[data] * powers(_WORD_BASE, int(length.max()))[place]
+    values[~inside] = 0
+    return starts, ends, mix64(np.add.reduceat(values, starts) + length.astype(np.uint64) * _LEN_SALT)
+
+
+def _cuts(data: np.ndarray, members: np.ndarray, limit: int) -> list[int]:
+    """Places about `limit` bytes apart at which no word is cut (a longer word stays whole)."""
+    cuts, at, n = [0], limit, len(data)
+    while at < n:
+        while at < n:
+            free = np.flatnonzero(~members[data[at : at + 65536]])
+            if len(free):
+                at += int(free[0])
+                break
+            at += 65536
+        cuts.append(min(at, n))
+        at = cuts[-1] + limit
+    return cuts if cuts[-1] == n else [*cuts, n]
+
+
+def tokenise(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SEPARATED, lower: bool = False, limit: int = BLOCK_BYTES) -> Words:
+    """Words (maximal runs of member bytes inside one text) and their hashes.
+
+    Works through the bytes in pieces cut between words, so that beyond the
+    words' places and hashes (some four times the bytes) little grows with them.
+    """
+    if lower:
+        data = _LOWER[data]
+    parts = []
+    for a, b in zip(cuts := _cuts(data, members, limit), cuts[1:], strict=False):
+        near = texts[np.searchsorted(texts, a) : np.searchsorted(texts, b, "right")]
+        starts, ends, hashes = _runs(data[a:b], near - a, members)
+        parts.append((starts + a, ends + a, hashes))
+    if len(parts) == 1:
+        starts, ends, hashes = parts[0]
     else:
-        hashes = np.zeros(0, np.uint64)
-    return Words(data, texts, starts, ends, first, hashes)
-
-
-def tokenise_all(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SEPARATED, lower: bool = False) -> Words:
-    """As tokenise, piece by piece, so that only the result grows with the texts."""
-    parts = [tokenise(data[texts[a] : texts[b]], texts[a : b + 1] - texts[a], members, lower) for a, b in pieces(texts)]
-    if not parts:
-        return tokenise(data, texts, members, lower)
-    shift = np.cumsum([0, *(len(p.data) for p in parts)])
-    count = np.cumsum([0, *(len(p.hashes) for p in parts)])
-    joined = lambda name, by: np.concatenate([getattr(p, name) + o for p, o in zip(parts, by, strict=False)])
-    first = np.concatenate([p.first[:-1] + o for p, o in zip(parts, count, strict=False)] + [count[-1:]])
-    return Words(np.concatenate([p.data for p in parts]), texts, joined("starts", shift), joined("ends", shift), first, np.concatenate([p.hashes for p in parts]))
+        kinds = (np.int64, np.int64, np.uint64)
+        starts, ends, hashes = (np.concatenate([np.zeros(0, t), *(p[i] for p in parts)]) for i, t in enumerate(kinds))
+    return Words(data, texts, starts, ends, np.searchsorted(starts, texts), hashes)
 
 
 def words_of(col: pa.Array, members: np.ndarray = BLANK_SEPARATED, lower: bool = False) -> Iterator[tuple[int, Words]]:
