@@ -6,7 +6,8 @@ attention pools their states, and a linear layer scores the window.  A text's
 score is that of its highest window, over all overlapping windows of the whole
 text; a final one-dimensional fit turns it into a probability.
 
-Training runs in one task over a sample bounded by `TrainingParams`; windows
+Training runs in one task over a sample bounded by `TrainingParams` (rows and
+characters); windows
 of a toxic text that the network, after its first pass, finds harmless are left
 out of the next pass (a toxic text needs only one toxic window).  Scoring is a
 map without a shuffle; vectors are made once for each distinct word of a block.
@@ -25,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ from .shared import ship
 class TrainingParams:
     #: Labelled rows of class 0 and of class 1 in the sample, at most.
     rows: tuple[int, int] = (3000, 700)
-    #: Longer texts are not taken into the sample (characters).
+    #: Longer texts are not taken into the sample, and no more characters than these altogether.
     longest: int = 40_000
+    chars: int = 16_000_000
     passes: int = 4
     #: Steps at least; a small sample is passed over more often, in smaller batches.
     steps: int = 160
@@ -237,16 +240,20 @@ def _grid_ids(starts: np.ndarray, owner: np.ndarray, last: np.ndarray, index: np
     return index[np.minimum(place, len(index) - 1)], mask.astype(np.float32)
 
 
-def window_logits(w: dict[str, np.ndarray], net: NetworkParams, words: K.Words, stride: int, chunk: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of all windows of a block of texts, and the text of each."""
+def window_logits(w: dict[str, np.ndarray], net: NetworkParams, words: K.Words, stride: int, chunk: int = 1024, span: int = 16384) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of all windows of a block of texts, and the text of each; inputs are made for `span` windows at a time."""
     starts, owner = window_grid(words.counts(), words.first, net.window, stride)
     out = np.zeros(len(starts), np.float32)
-    if len(starts):
-        inputs, index = word_inputs(words, net)
+    for s in range(0, len(starts), span):
+        own = slice(s, min(s + span, len(starts)))
+        lo, hi = int(starts[own][0]), min(int(starts[own][-1]) + net.window, len(words.hashes))
+        near = K.Words(words.data, words.texts, words.starts[lo:hi], words.ends[lo:hi], words.first, words.hashes[lo:hi])
+        inputs, index = word_inputs(near, net)
         gates = gates_of(vectors(inputs, w), w)
-        for a in range(0, len(starts), chunk):
-            ids, mask = _grid_ids(starts[a : a + chunk], owner[a : a + chunk], words.first[1:], index, net.window)
-            out[a : a + chunk] = forward(w, gates, ids, mask)[0]
+        for a in range(own.start, own.stop, chunk):
+            part = slice(a, min(a + chunk, own.stop))
+            ids, mask = _grid_ids(starts[part] - lo, owner[part], words.first[1:] - lo, index, net.window)
+            out[part] = forward(w, gates, ids, mask)[0]
     return out, owner
 
 
@@ -266,15 +273,15 @@ def best_cut(values: np.ndarray, labels: np.ndarray) -> float:
     return float((v[at] + v[at + 1]) / 2)
 
 
-def train(texts: list[str], labels: np.ndarray, net: NetworkParams = NetworkParams(), how: TrainingParams = TrainingParams()) -> Model:
+def train(texts: list[str] | pa.Array, labels: np.ndarray, net: NetworkParams = NetworkParams(), how: TrainingParams = TrainingParams()) -> Model:
     """Fits the network to whole texts with labels 0 and 1."""
     model = Model(net, initial(net, how.seed))
     if not len(labels) or labels.min() == labels.max():
         model.scale, model.shift, model.prior = 0.0, -np.inf, -np.inf
         return model
     w, rng = model.weights, np.random.default_rng(how.seed)
-    data, at = K.buffers(pa.array(texts, pa.string()))
-    words = K.tokenise_all(data, at, lower=True)
+    data, at = K.buffers(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+    words = K.tokenise(data, at, lower=True)
     inputs, index = word_inputs(words, net)
     index = index.astype(np.int32)
     starts, owner = window_grid(words.counts(), words.first, net.window, net.stride)
@@ -344,7 +351,7 @@ def train(texts: list[str], labels: np.ndarray, net: NetworkParams = NetworkPara
 
 
 def training_sample(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", how: TrainingParams = TrainingParams()) -> DataFrame | None:
-    """_id, _text, _label: at most rows[0] and rows[1] texts of the classes, those with the least hash of their id among the labelled rows."""
+    """_text, _label, _order: at most rows[0] and rows[1] texts of the classes, those with the least hash of their id among the labelled rows."""
     spark = docs.sparkSession
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(how.seed))
     marked = labelled.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"), order.alias("_order"))
@@ -352,12 +359,13 @@ def training_sample(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id"
     if not ids:
         return None
     kind = docs.schema[id_col].dataType
-    chosen = F.broadcast(spark.createDataFrame([(r["_id"], r["_label"]) for r in ids], f"_id {kind.simpleString()}, _label int").dropDuplicates(["_id"]))
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text").between(1, how.longest)).join(chosen, "_id").select("_id", "_text", "_label")
+    chosen = F.broadcast(spark.createDataFrame([tuple(r) for r in ids], f"_id {kind.simpleString()}, _label int, _order long").dropDuplicates(["_id"]))
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text").between(1, how.longest)).join(chosen, "_id").select("_text", "_label", "_order")
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns `keep` of every row, and its score."""
+    """Columns `keep` of every row, and its score; a column of docs with that name gives way."""
+    keep = [c for c in keep if c != "score"]
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
@@ -373,7 +381,7 @@ def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str =
                 cols = [batch.column(i).slice(lo, words.n_texts) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(np.clip(score, 0.0, 1.0))], names=[*keep, "score"])
 
-    return docs.select(*keep, *([] if text_col in keep else [text_col])).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if text_col in keep else [text_col])).mapInArrow(K.tidy(run), schema)
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", net: NetworkParams = NetworkParams(), how: TrainingParams = TrainingParams()) -> Model:
@@ -382,12 +390,17 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     sample = training_sample(docs, labelled, id_col, text_col, label_col, how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in batches:
-            rows += zip(*(c.to_pylist() for c in batch.columns), strict=True)
-        rows = sorted(rows)[: sum(how.rows)]
-        model = train([r[1] for r in rows], np.array([r[2] for r in rows], float), net, how)
+        texts, labels, size = [], [], 0
+        for batch in batches:  # in the order of the hashes, up to the bound on characters
+            upto = size + np.cumsum(pc.utf8_length(batch.column(0)).to_numpy(zero_copy_only=False))
+            n = int(np.searchsorted(upto, how.chars, "right"))
+            texts.append(pa.array(batch.column(0).slice(0, n).to_pylist(), pa.string()))
+            labels += batch.column(1).slice(0, n).to_pylist()
+            size = int(upto[-1]) if len(upto) else size
+        whole = pa.concat_arrays(texts) if texts else pa.array([], pa.string())
+        del texts
+        model = train(whole, np.array(labels, float), net, how)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    made = [] if sample is None else sample.repartition(1).mapInArrow(run, "model binary").collect()
+    made = [] if sample is None else sample.repartition(1).sortWithinPartitions("_order", "_text").select("_text", "_label").mapInArrow(K.tidy(run), "model binary").collect()
     return pickle.loads(made[0].model) if made else train([], np.zeros(0), net, how)
