@@ -9,19 +9,22 @@ once, from their last word to their first, two ranks a word; the rows of those
 that occur are walked back to sampled positions.  Occurrences merge into
 removal spans per text.
 
-The test phrases are broadcast, in blocks of a bounded number of words; the
-training texts are never shuffled.  Each block adds to the spans and items that
-the blocks before it found.
+The test phrases are broadcast, in blocks of a bounded number of characters;
+the training texts are not shuffled for it.  Where there are several blocks, one
+at a time is on the driver: it writes what it hits by the texts' hashes, and the
+last block's pass merges that in (a broadcast if it is small).
 
 Defined results: null text has no words.  Repeated rows are judged each.  An
 item without words has no phrases; null item ids are ignored in `items`.  An
-empty benchmark hits nothing.  Further columns are ignored.
+empty benchmark hits nothing.  Further columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as K
-from .shared import ship
+from .shared import bounded, forget, ship, written
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,7 @@ class DecontaminationParams:
     #: Every so many positions of a shard are sampled.
     sample: int = 16
     #: Characters of benchmark text in one broadcast block.
-    block_chars: int = 32 << 20
+    block_chars: int = 4 << 20
     #: Bytes of training text of a shard.
     shard_bytes: int = 4 << 20
 
@@ -142,33 +145,44 @@ class Phrases:
     vocabulary: np.ndarray  # sorted word hashes; symbol = index + 2
     columns: list[np.ndarray]  # symbols from the last word to the first, 0 where a phrase is shorter
     lengths: np.ndarray
-    items: list[list[str]]
+    names: list[str]  # of the items
+    holders: np.ndarray  # for each phrase in turn, the items that hold it
+    first: np.ndarray  # borders of the phrases in holders
 
     @property
     def shortest(self) -> int:
         return int(self.lengths.min())
 
+    def items(self, phrase: int) -> list[str]:
+        return [self.names[i] for i in self.holders[self.first[phrase] : self.first[phrase + 1]]]
+
 
 def phrases_of(items: list[tuple], width: int) -> Phrases | None:
     """Phrases of (item id, text) rows."""
     words = K.tokenise(*K.buffers(pa.array([t or "" for _, t in items], pa.string())), K.ALNUM_WORDS, True)
-    vocabulary = np.unique(words.hashes)
-    symbols = np.searchsorted(vocabulary, words.hashes) + 2
-    held: dict[bytes, set[str]] = {}
-    for i, (item, _) in enumerate(items):
-        own = symbols[words.first[i] : words.first[i + 1]]
-        for j in range(max(1, len(own) - width + 1) if len(own) else 0):
-            named = held.setdefault(own[j : j + width].tobytes(), set())
-            if item is not None:
-                named.add(str(item))
-    if not held:
+    if not len(words.hashes):
         return None
-    lists = [np.frombuffer(k, np.int64) for k in held]
-    lengths = np.array([len(x) for x in lists])
-    grid = np.zeros((int(lengths.max()), len(lists)), np.int64)
-    for i, x in enumerate(lists):
-        grid[: len(x), i] = x[::-1]
-    return Phrases(vocabulary, list(grid), lengths, [sorted(v) for v in held.values()])
+    vocabulary, symbols = np.unique(words.hashes, return_inverse=True)
+    symbols = (symbols + 2).astype(np.int32)
+    counts = words.counts()
+    n = np.where(counts >= width, counts - width + 1, counts > 0)
+    owner = np.repeat(np.arange(len(items)), n)
+    start = words.first[:-1][owner] + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    length = np.minimum(counts[owner], width)
+    grid = np.zeros((len(owner), int(length.max())), np.int32)
+    for j in range(grid.shape[1]):
+        has = length > j
+        grid[has, j] = symbols[start[has] + length[has] - 1 - j]
+    # equal phrases side by side, by their symbols
+    order = np.lexsort(grid.T[::-1])
+    grid, owner, length = grid[order], owner[order], length[order]
+    new = np.append(True, (grid[1:] != grid[:-1]).any(axis=1))
+    phrase = np.cumsum(new) - 1
+    named = np.array([item is not None for item, _ in items])[owner]
+    pairs = np.unique(np.stack((phrase[named], owner[named])), axis=1)
+    at = np.flatnonzero(new)
+    first = np.searchsorted(pairs[0], np.arange(len(at) + 1))
+    return Phrases(vocabulary, [np.ascontiguousarray(c) for c in grid[at].T], length[at], ["" if i is None else str(i) for i, _ in items], pairs[1].astype(np.int32), first)
 
 
 def shard_hits(words: K.Words, phrases: Phrases, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,32 +219,36 @@ def shard_hits(words: K.Words, phrases: Phrases, sample: int) -> tuple[np.ndarra
 
 
 _SPANS = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+_RESULTS = ("n_words", "spans", "items", "n_hit", "contaminated")
 
 
-def _with_block(docs: DataFrame, keep: list[str], text_col: str, phrases: Phrases | None, params: DecontaminationParams, first: bool) -> DataFrame:
-    """docs with n_words, spans and items; those of earlier blocks, if any, are merged in."""
+def _with_block(docs: DataFrame, keep: list[str], text_col: str, phrases: Phrases | None, params: DecontaminationParams, earlier: bool = False) -> DataFrame:
+    """Columns `keep`, n_words, spans and items; what other blocks found (`_spans`, `_items`) is merged in if `earlier`."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
-    own = [c for c in docs.columns if c in keep or c == text_col]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own) + ", " + _SPANS
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + _SPANS
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    named = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = sent.value
         for batch in batches:
-            data, ends = K.buffers(K.text_column(batch, text_col))
+            data, ends = K.buffers(K.text_column(batch, "_body"))
             for lo, hi in K.pieces(ends, params.shard_bytes):
                 part = batch.slice(lo, hi - lo)
                 words = K.tokenise(data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], K.ALNUM_WORDS, True)
                 n_texts = words.n_texts
-                cover: list[list] = [[] for _ in range(n_texts)] if first else [[(s["start"], s["end"]) for s in x] for x in part.column(len(own) + 1).to_pylist()]
-                items: list[set] = [set() for _ in range(n_texts)] if first else [set(x) for x in part.column(len(own) + 2).to_pylist()]
+                cover: list[list] = [[] for _ in range(n_texts)]
+                items: list[set] = [set() for _ in range(n_texts)]
+                if earlier:
+                    cover = [[(s["start"], s["end"]) for s in x or ()] for x in part.column(len(keep) + 1).to_pylist()]
+                    items = [set(x or ()) for x in part.column(len(keep) + 2).to_pylist()]
                 if phrases is not None:
                     at, length, which = shard_hits(words, phrases, params.sample)
                     text = np.searchsorted(words.first, at, "right") - 1
                     for t, a, n, w in zip(text.tolist(), (at - words.first[text]).tolist(), length.tolist(), which.tolist(), strict=True):
                         cover[t].append((a, a + n))
-                        items[t].update(phrases.items[w])
+                        items[t].update(phrases.items(w))
                 merged = []
                 for spans in cover:
                     out: list[dict] = []
@@ -241,20 +259,44 @@ def _with_block(docs: DataFrame, keep: list[str], text_col: str, phrases: Phrase
                             out.append({"start": a, "end": b})
                     merged.append(out)
                 found = [pa.array(words.counts(), pa.int64()), pa.array(merged, pa.list_(span)), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(own))] + found, names=[*own, "n_words", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + found, names=[*keep, "n_words", "spans", "items"])
+
+    made = docs.select(*named, F.col(text_col).alias("_body"), *(["_spans", "_items"] if earlier else [])).mapInArrow(K.tidy(run), schema)
+    made._sent = sent
+    return made
 
-    return docs.select(*own, *([] if first else ["n_words", "spans", "items"])).mapInArrow(run, schema)
+
+def _block_hits(docs: DataFrame, text_col: str, phrases: Phrases | None, params: DecontaminationParams) -> DataFrame:
+    """_h1, _h2 (the text's hashes), spans, items of the distinct texts that a block of phrases hits, as a written table."""
+    keyed = docs.select(F.xxhash64(text_col).alias("_h1"), F.xxhash64(F.lit(1), text_col).alias("_h2"), text_col)
+    found = _with_block(keyed, ["_h1", "_h2"], text_col, phrases, params)
+    hits = written(found.where(F.size("spans") > 0).groupBy("_h1", "_h2").agg(F.any_value("spans").alias("spans"), F.any_value("items").alias("items")), "hits")
+    found._sent.destroy()
+    return hits
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", params: DecontaminationParams = DecontaminationParams()) -> DataFrame:
-    """Columns `keep` and the text of every row, with n_words, merged removal spans (words), items, n_hit and contaminated."""
+    """Columns `keep` of every row, with n_words, merged removal spans (words), items, n_hit and contaminated; columns of docs with these names give way."""
+    keep = [c for c in keep if c not in _RESULTS]
     clean = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("body")).where(F.length("body") > 0)
     size = clean.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = max(1, -(-size // params.block_chars))
-    out = docs
-    for b in range(blocks):
+
+    def phrases(b: int) -> Phrases | None:
         part = clean if blocks == 1 else clean.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
-        out = _with_block(out, keep, text_col, phrases_of([(r.item, r.body) for r in part.collect()], params.width) if size else None, params, b == 0)
+        return phrases_of([(r.item, r.body) for r in part.collect()], params.width) if size else None
+
+    if blocks == 1:
+        out = _with_block(docs, keep, text_col, phrases(0), params)
+    else:
+        # every block but the last writes what it hits and is forgotten
+        hits = [_block_hits(docs, text_col, phrases(b), params) for b in range(blocks - 1)]
+        every = reduce(DataFrame.unionByName, hits).groupBy("_h1", "_h2").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
+        every = written(every, "all-hits")
+        forget(*hits)
+        keyed = docs.withColumns({"_w1": F.xxhash64(text_col), "_w2": F.xxhash64(F.lit(1), text_col)})
+        joined = keyed.join(bounded(every), (F.col("_w1") == F.col("_h1")) & (F.col("_w2") == F.col("_h2")), "left")
+        out = _with_block(joined, keep, text_col, phrases(blocks - 1), params, earlier=True)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return out.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * params.share >= F.col("n_words")))
 
