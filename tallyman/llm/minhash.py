@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as K
 from .components import connected_components
-from .shared import forget, ship, written
+from .shared import apart, bounded, forget, ship, written
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -78,7 +78,7 @@ def _key(values: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicateParams) -> DataFrame:
-    """id, n_shingles, k1, k2 (the set's name), sketch (array of retained values)."""
+    """id, row_key (the text's hash), n_shingles, k1, k2 (the set's name), sketch (array of retained values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,10 +94,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicateP
                 values = np.concatenate(kept).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
                 ids = batch.column(0).slice(lo, words.n_texts)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists], names=[id_col, "n_shingles", "k1", "k2", "sketch"])
+                keys = batch.column(2).slice(lo, words.n_texts)
+                yield pa.RecordBatch.from_arrays([ids, keys, pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists], names=[id_col, "row_key", "n_shingles", "k1", "k2", "sketch"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_shingles long, k1 long, k2 long, sketch array<long>")
+    return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_row_key")).mapInArrow(K.tidy(run), f"`{id_col}` {kind}, row_key long, n_shingles long, k1 long, k2 long, sketch array<long>")
 
 
 def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataFrame:
@@ -121,16 +122,16 @@ def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params:
     size = np.array([len(s) for s in sets])
     values = np.concatenate([s[:k] for s in sets])
     row = np.repeat(np.arange(n), np.minimum(size, k))
-    kept, col, times = np.unique(values, return_inverse=True, return_counts=True)
-    place = np.cumsum(times > 1) - 1
-    use = times[col] > 1
-    wide = int((times > 1).sum())
-    small = np.zeros((n, wide), np.uint8)
-    small[row[use], place[col[use]]] = 1
-    small = np.packbits(small, axis=1)
+    # inverted lists of the values that several classes retain
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    cuts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
+    times = np.diff(np.append(cuts, len(ranked)))
+    col = np.empty(len(values), np.int64)
+    col[order] = np.repeat(np.arange(len(cuts)), times)
+    holders, ends, at = row[order], cuts + times, np.concatenate(([0], np.cumsum(np.minimum(size, k))))
     padded = np.full((n, k), np.iinfo(np.uint64).max, np.uint64)
     padded[row, np.concatenate([np.arange(min(s, k)) for s in size.tolist()])] = values
-    del kept
     across = len(np.unique(side)) > 1
     parent = np.arange(n)
     links: list[tuple[int, int]] = []
@@ -140,7 +141,10 @@ def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params:
         rest = rest[near & (parent[rest] != parent[i]) & ((side[rest] != side[i]) | (not across))]
         if not len(rest):
             continue
-        meet = np.bitwise_count(small[rest] & small[i]).sum(axis=1, dtype=np.int64)
+        own = [c for c in col[at[i] : at[i + 1]].tolist() if times[c] > 1]
+        if not own:
+            continue
+        meet = np.bincount(np.concatenate([holders[cuts[c] : ends[c]] for c in own]), minlength=n)[rest]
         least = np.minimum(np.minimum(size[rest], size[i]), k) * params.overlap // k
         rest = rest[meet >= least]
         if not len(rest):
@@ -203,12 +207,17 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, id_
         if held:
             yield out()
 
-    rows = texts.mapInArrow(deal, "cluster long, p int, q int, k1 long, side int, values binary")
-    return rows.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(verify, "a long, b long")
+    rows = texts.mapInArrow(K.tidy(deal), "cluster long, p int, q int, k1 long, side int, values binary")
+    return rows.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(K.tidy(verify), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept."""
+    return _judged(docs, id_col, text_col, params).drop("row_key")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicateParams) -> DataFrame:
+    """near_duplicates, with row_key, the hash of each row's text."""
     ship(docs.sparkSession)
     named = written(sketches(docs, id_col, text_col, params), "sketches")
     full = named.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
@@ -221,7 +230,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = linked.groupBy("component").agg(F.min("first_id").alias("head"))
     moved = linked.join(heads, "component").groupBy("k1").agg(F.min("head").alias("_head"))
     own = classes.select("k1", "k2", "first_id").join(moved, "k1", "left").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.coalesce("_head", "first_id").alias("_least"))
-    rows = named.select(id_col, "n_shingles", "k1", "k2")
+    rows = named.select(id_col, "row_key", "n_shingles", "k1", "k2")
     joined = rows.join(own, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n_shingles") > 0) & F.col(id_col).isNotNull(), "left")
     least = F.coalesce("_least", F.col(id_col))
-    return joined.select(id_col, "n_shingles", least.alias("component_id"), F.coalesce(least == F.col(id_col), F.lit(True)).alias("kept"))
+    return joined.select(id_col, "row_key", "n_shingles", least.alias("component_id"), F.coalesce(least == F.col(id_col), F.lit(True)).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDuplicateParams = NearDuplicateParams()) -> DataFrame:
+    """The rows of docs without near duplicates: of each component one row stays, that with the least id.
+
+    Rows are told apart by id and text.  Of several rows with a component's
+    least id the one with the least hash of its text stays, and of rows that
+    are equal in both one.  Rows with a null id or without words all stay.
+    """
+    docs, restored = apart(docs, [id_col, text_col])
+    judged = written(_judged(docs, id_col, text_col, params), "judged")
+    grouped = judged.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
+    gone = grouped.where(~F.col("kept")).select(F.col(id_col).alias("_gone_id"), F.col("row_key").alias("_gone_key"))
+    several = grouped.where("kept").groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.min("row_key").alias("first_key")).where(F.col("n") > 1)
+    several = written(several, "several")
+    rows = docs.withColumn("_key", F.xxhash64(text_col))
+    at = lambda df, i, k: (rows[id_col] == df[i]) & (rows["_key"] == df[k])
+    if several.limit(1).count():
+        # ids that are not unique
+        extra = grouped.where("kept").join(several, "component_id").where(F.col("row_key") != F.col("first_key"))
+        gone = gone.unionByName(extra.select(F.col(id_col).alias("_gone_id"), F.col("row_key").alias("_gone_key")))
+    gone = written(gone.distinct(), "gone")
+    stay = rows.join(bounded(gone), at(gone, "_gone_id", "_gone_key"), "left_anti")
+    if several.limit(1).count():
+        first = several.select(F.col("component_id").alias("_id"), F.col("first_key").alias("_first"))
+        named = stay[id_col].eqNullSafe(first["_id"]) & (stay["_key"] == first["_first"])
+        plain = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+        one = stay.join(bounded(first, several), named, "left_semi").groupBy(id_col, "_key").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.xxhash64(*(F.col(f"`{c}`") for c in plain))).alias("_row"))
+        stay = stay.join(bounded(first, several), named, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(one.select("_row.*"))
+    return restored(stay)

@@ -11,6 +11,7 @@ import io
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,13 @@ def bounded(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
 
 
+def apart(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with all columns but those needed under other names, so that none clashes with an operator's, and what restores docs' columns."""
+    names = {c: c if c in needed else f"_col{i}" for i, c in enumerate(docs.columns)}
+    masked = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return masked, lambda df: df.select(*(F.col(f"`{n}`").alias(c) for c, n in names.items()))
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Deletes tables that `written` made, once nothing reads them any more."""
     for df in tables:
