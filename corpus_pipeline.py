@@ -10,39 +10,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyman.llm import decontaminate, linededup, minhash, packing, queries, toxicity
-from tallyman.llm.shared import forget, written
+from tallyman.llm.shared import apart, forget, written
+
+
+def _kept_where(docs: DataFrame, judge: Callable[[DataFrame, list[str]], DataFrame], keep: Column) -> DataFrame:
+    """The rows of docs that a judge's columns keep; docs' other columns have other names meanwhile, so none clashes with a judge's."""
+    masked, restored = apart(docs, ["doc_id", "text"])
+    return restored(judge(masked, masked.columns).where(keep))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores below one half."""
     model = queries.fitted_toxicity(spark, docs, sf_dir)
-    return toxicity.score_texts(docs, model, docs.columns).where(F.col("score") < 0.5).drop("score")
+    return _kept_where(docs, lambda df, keep: toxicity.score_texts(df, model, keep), F.col("score") < 0.5)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand elsewhere before; those that lose all their words go."""
-    cut = linededup.deduplicate_lines(docs)
-    cut = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    size = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+    return linededup.drop_lines(docs, size_col="n_chars")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the least id."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return minhash.distinct_documents(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
-    found = decontaminate.find_contamination(docs, queries.table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    bench = queries.table(spark, sf_dir, "benchmark")
+    return _kept_where(docs, lambda df, keep: decontaminate.find_contamination(df, bench, keep), ~F.col("contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
