@@ -7,20 +7,11 @@ import sys
 from pyspark.sql import SparkSession
 
 from tallyman.operators.drift import log_report
-from tallyman.plans.compare import Comparison, config_of_parameters, parameters_of_json
+from tallyman.plans.compare import Comparison, config_of_parameters, parse_arguments
 from tallyman.sources.sinks import export_summary
-from tallyman.sources.specs import unquoted
 from tallyman.sources.tables import sides
 
 
-def parse_arguments(args: list[str]) -> dict[str, str]:
-    """Parameters from `key=value` arguments (quotes around a value go, if they are a pair) or a JSON object."""
-    if args and args[0].lstrip().startswith("{"):
-        return parameters_of_json(args[0])
-    pairs = [a.partition("=") for a in args]
-    return {k.strip(): unquoted(v) for k, eq, v in pairs if eq and k.strip()}
-
-
 def run(args: list[str], spark: SparkSession | None = None) -> Comparison:
     parameters = parse_arguments(args)
     named, config = config_of_parameters(parameters)

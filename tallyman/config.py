@@ -24,6 +24,7 @@ class CompareConfig:
     include_equals: whether MATCH and EXACT_MATCH rows are kept.
     prune_constants: leave out columns that hold one equal value on both sides.
     null_aware_constants: a column with nulls is no constant.
+    samples, sample_seed: how many ids the summary shows, and the seed that draws them at random (default: the least ids).
     """
 
     keys: tuple[str, ...]
@@ -43,6 +44,7 @@ class CompareConfig:
     null_aware_constants: bool = False
     check_duplicates: bool = True
     samples: int = 10
+    sample_seed: int | None = None
 
     def __post_init__(self) -> None:
         if not self.keys:

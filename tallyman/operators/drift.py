@@ -87,12 +87,23 @@ def analyze(ref: DataFrame, new: DataFrame, most: int = MOST_DIFFERENCES, most_m
 
 
 def lossy_casts(ref: DataFrame, new: DataFrame) -> DataFrame:
-    """column, lost: how many values of NEW become null when cast to REF's type (one aggregate)."""
+    """column, lost, changed (one aggregate): how many values of NEW become null when cast to REF's type, and how many come back from it as another value."""
     kinds = {f.name: f.dataType for f in ref.schema}
-    shared = [f for f in new.schema if f.name in kinds and f.dataType != kinds[f.name] and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    cells = [F.struct(F.lit(f.name).alias("column"), F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(kinds[f.name]).isNull()).alias("lost")) for f in shared]
+    plain = lambda kind: not isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
+    shared = [f for f in new.schema if f.name in kinds and f.dataType != kinds[f.name] and plain(f.dataType) and plain(kinds[f.name])]
+    cells = []
+    for f in shared:
+        value, cast = F.col(f"`{f.name}`"), F.col(f"`{f.name}`").try_cast(kinds[f.name])
+        back = cast.try_cast(f.dataType)
+        if isinstance(f.dataType, T.StringType):
+            # texts of one value may differ (1 and 01): what counts is whether the number is the same
+            same = value.try_cast("decimal(38,10)").eqNullSafe(cast.try_cast("decimal(38,10)")) if isinstance(kinds[f.name], T.NumericType) else F.lit(True)
+        else:
+            same = back.eqNullSafe(value)
+        lost = value.isNotNull() & cast.isNull()
+        cells.append(F.struct(F.lit(f.name).alias("column"), F.count_if(lost).alias("lost"), F.count_if(cast.isNotNull() & ~same).alias("changed")))
     if not cells:
-        return new.sparkSession.createDataFrame([], "column string, lost long")
+        return new.sparkSession.createDataFrame([], "column string, lost long, changed long")
     return new.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +17,9 @@ SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("origin", "id"
 
 def _side(df: DataFrame, ref: DataFrame, config: CompareConfig, columns: list[str], origin: str) -> DataFrame:
     """origin, id, keys as text, and every other column as text."""
-    keys = [C.key(F.col(k), df.schema[k].dataType).cast("string").alias(f"k{i}") for i, k in enumerate(config.keys)]
-    rest = [c for c in columns if c not in config.priority]
     kinds = {f.name: f.dataType for f in df.schema}
+    keys = [C.key(F.col(k), kinds[k]).cast("string").alias(f"k{i}") for i, k in enumerate(config.keys)]
+    rest = [c for c in columns if c not in config.priority]
     texts = [C.row_text(F.col(c), kinds[c]).alias(f"t{i}") for i, c in enumerate(rest)]
     return df.select(F.lit(origin).alias("origin"), *keys, *texts)
 
@@ -26,8 +28,11 @@ def duplicates(ref: DataFrame, new: DataFrame, config: CompareConfig, columns: l
     """One row per side and duplicated key.
 
     Equal rows are counted together first (partial aggregation, then a shuffle
-    by whole row, which a hot key does not skew), and only then by key.  With
-    priority columns the rows that differ in nothing else count once.
+    by whole row, which a hot key does not skew); their counts go to keys by
+    partial aggregation as well.  Only rows of keys that occur twice or more are
+    gathered into sets of values, which a semi-join leaves to them (adaptive
+    execution splits a hot key's share of it).  With priority columns the rows
+    that differ in nothing else count once.
     """
     columns = compared_columns(ref, new, config) if columns is None else [c for c in columns if c in ref.columns and c in new.columns]
     rest = [c for c in columns if c not in config.priority]
@@ -36,18 +41,18 @@ def duplicates(ref: DataFrame, new: DataFrame, config: CompareConfig, columns: l
     # rows with equal texts are rows with equal hashes; the texts themselves group without a sort
     copies = F.lit(1) if config.priority else F.count(F.lit(1))
     distinct = both.groupBy("origin", *keys, *texts).agg(copies.cast("long").alias("copies"))
-    # a key's rows are sorted together once: singles go before any set of values is made
-    of_key = Window.partitionBy("origin", *keys)
-    counted = distinct.withColumns({"occurrences": F.sum("copies").over(of_key), "hashes": F.count(F.lit(1)).over(of_key)}).where(F.col("occurrences") >= 2)
-    grouped = counted.groupBy("origin", *keys).agg(F.max("occurrences").alias("occurrences"), F.max("hashes").alias("hashes"), *(F.collect_set(t).alias(t) for t in texts))
+    counted = distinct.groupBy("origin", *keys).agg(F.sum("copies").alias("occurrences"), F.count(F.lit(1)).alias("hashes")).where(F.col("occurrences") >= 2)
+    named = counted.withColumnsRenamed({k: f"_{k}" for k in ("origin", *keys)})
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ("origin", *keys)))
+    sets = [F.collect_set(t).alias(t) for t in texts]
+    grouped = distinct.join(named, same).groupBy("origin", *keys).agg(F.max("occurrences").alias("occurrences"), F.max("hashes").alias("hashes"), *sets)
     grouped = grouped.withColumn("id", C.composite_id([F.col(k) for k in keys]))
     own = Window.partitionBy(*keys)
     on_ref, on_new = F.bool_or(F.col("origin") == "ref").over(own), F.bool_or(F.col("origin") == "new").over(own)
-    shown = lambda x: F.when(x == C.NULL_MARK, C.NULL_TEXT).when(x == "", C.EMPTY_TEXT).otherwise(x)
-    told = [
-        F.when(F.size(t) > 1, F.concat(F.lit(f"{c}: ["), F.array_join(F.transform(F.array_sort(t), shown), ", "), F.lit("]")))
-        for c, t in zip(rest, texts, strict=True)
-    ]
+    # as text: hundreds of columns would take many calls each
+    shown = f"transform(array_sort({{}}), x -> CASE x WHEN '{C.NULL_MARK}' THEN '{C.NULL_TEXT}' WHEN '' THEN '{C.EMPTY_TEXT}' ELSE x END)"
+    quoted = lambda c: c.replace("\\", "\\\\").replace("'", "\\'")
+    told = [F.expr(f"CASE WHEN size({t}) > 1 THEN concat('{quoted(c)}: [', array_join({shown.format(t)}, ', '), ']') END") for c, t in zip(rest, texts, strict=True)]
     variations = F.concat_ws(" | ", *told) if told else F.lit("")
     return grouped.select(
         "origin",

@@ -1,9 +1,11 @@
 """The thirteen summary rows of a comparison.
 
-Rows, differences and duplicates are reduced to one row of flags per id by a
-single union and aggregate; the metrics are conditional counts over it.  The
-sample ids are the least ones of each metric, found by a rank that Spark limits
-inside every partition before it shuffles.
+The metrics are conditional counts over one row of flags per key, which the
+grouped union of the differences gives as well (`differences.key_flags`), so a
+summary costs one scan of either side and one shuffle.  Keys are told apart as
+keys: ids, which join a key's texts, only name them.  The sample ids are the
+least ones of each metric, or with a seed random ones, found by a rank that
+Spark limits inside every partition before it shuffles.
 """
 
 from __future__ import annotations
@@ -36,23 +38,6 @@ ROWS = (
 BLOCKS = ("KPIS", "EXACT MATCH", "PARTIAL MATCH", "GAP", "DUPS")
 
 
-def id_flags(ref: DataFrame, new: DataFrame, diff: DataFrame, dups: DataFrame, config: CompareConfig) -> DataFrame:
-    """id, n_ref, n_new (rows), differs, category (of its duplicates, null without)."""
-    cid = lambda df: C.composite_id([C.key(F.col(k), df.schema[k].dataType) for k in config.keys])
-    zero, no = F.lit(0).cast("long"), F.lit(False)
-    none = F.lit(None).cast("string")
-    parts = [
-        ref.select(cid(ref).alias("id"), F.lit(1).cast("long").alias("r"), zero.alias("n"), no.alias("d"), none.alias("c")),
-        new.select(cid(new).alias("id"), zero.alias("r"), F.lit(1).cast("long").alias("n"), no.alias("d"), none.alias("c")),
-        diff.select("id", zero.alias("r"), zero.alias("n"), F.lower("results").isin("no_match", "only_in_ref", "only_in_new").alias("d"), none.alias("c")),
-        dups.select("id", zero.alias("r"), zero.alias("n"), no.alias("d"), F.lower("category").alias("c")),
-    ]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("id").agg(F.sum("r").alias("n_ref"), F.sum("n").alias("n_new"), F.bool_or("d").alias("differs"), F.max("c").alias("category"))
-
-
 def _flags() -> dict[str, Column]:
     """The ids that each metric counts."""
     on_ref, on_new, differs, category = F.col("n_ref") > 0, F.col("n_new") > 0, F.col("differs"), F.col("category")
@@ -72,9 +57,8 @@ def _flags() -> dict[str, Column]:
     }
 
 
-def summary(ref: DataFrame, new: DataFrame, diff: DataFrame, dups: DataFrame, config: CompareConfig) -> DataFrame:
-    """block, metric, universe, numerator, denominator, pct, samples; all text, in the order of the blocks."""
-    ids = id_flags(ref, new, diff, dups, config)
+def summary(ids: DataFrame, config: CompareConfig) -> DataFrame:
+    """block, metric, universe, numerator, denominator, pct, samples from key flags; all text, in the order of the blocks."""
     flags = _flags()
     both = (F.col("n_ref") > 0) & (F.col("n_new") > 0)
     counts = ids.agg(
@@ -103,7 +87,8 @@ def summary(ref: DataFrame, new: DataFrame, diff: DataFrame, dups: DataFrame, co
     rows = counts.select(F.inline(F.array(*(row(i, *r) for i, r in enumerate(ROWS)))))
     sampled = [m for m in flags if m not in ("M1", "M2", "M6")]
     named = ids.select("id", F.explode(F.array_compact(F.array(*(F.when(flags[m], F.lit(m)) for m in sampled)))).alias("m"))
-    least = named.withColumn("rank", F.row_number().over(Window.partitionBy("m").orderBy("id"))).where(F.col("rank") <= config.samples)
+    order = ["id"] if config.sample_seed is None else [F.xxhash64("id", F.lit(config.sample_seed)), "id"]
+    least = named.withColumn("rank", F.row_number().over(Window.partitionBy("m").orderBy(*order))).where(F.col("rank") <= config.samples)
     samples = least.groupBy(F.col("m").alias("sm")).agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("samples"))
     told = rows.join(F.broadcast(samples), rows["m"] == samples["sm"], "left")  # at most ten rows
     rank = F.array_position(F.array(*map(F.lit, BLOCKS)), F.col("block"))

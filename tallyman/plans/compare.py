@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyman.config import CompareConfig
 from tallyman.operators import differences, drift, duplicates, summary
 from tallyman.sources import sinks, specs
-from tallyman.sources.tables import compared_columns, input_files, projected, sides
+from tallyman.sources.tables import compared_columns, input_files, sides
 
 
 @dataclass
@@ -29,9 +29,23 @@ class Comparison:
     def columns(self) -> list[str]:
         return compared_columns(self.ref, self.new, self.config)
 
+    @cached_property
+    def tagged(self) -> DataFrame:
+        """Both sides' rows in one form, of which differences, summary and constants are made."""
+        return differences.prepared(self.ref, self.new, self.config, self.columns)
+
+    @cached_property
+    def pruned(self) -> list[str]:
+        """The compared columns without constants: found once for differences and summary."""
+        return differences.pruned_columns(self.tagged, self.config, self.columns)
+
     @cached_property
     def differences(self) -> DataFrame:
-        return differences.differences(self.ref, self.new, self.config, self.columns)
+        return differences.differences(self.tagged, self.config, self.columns, self.pruned)
+
+    @cached_property
+    def key_flags(self) -> DataFrame:
+        return differences.key_flags(self.tagged, self.config, self.columns, self.pruned)
 
     @cached_property
     def duplicates(self) -> DataFrame:
@@ -41,40 +55,30 @@ class Comparison:
 
     @cached_property
     def summary(self) -> DataFrame:
-        ref, new = (projected(df, self.config, []) for df in (self.ref, self.new))
-        return summary.summary(ref, new, self.differences, self.duplicates, self.config)
+        return summary.summary(self.key_flags, self.config)
 
     @cached_property
     def schema_report(self) -> drift.SchemaReport:
         return drift.analyze(self.ref, self.new)
 
+    @cached_property
+    def lossy_casts(self) -> DataFrame:
+        """How many values of NEW are lost or changed by the cast to REF's type, for each column of another type."""
+        return drift.lossy_casts(self.ref, self.new)
+
     def input_files(self) -> tuple[int, int]:
         return input_files(self.ref), input_files(self.new)
 
     def write(self, path: str, initiative: str, date: str, files: int | None = None) -> None:
-        """All results as Parquet below path; the summary reads the results written, not the sources' plans again."""
-        sinks.write_path(self.differences, path, "differences", initiative, date, files)
-        sinks.write_path(self.duplicates, path, "duplicates", initiative, date, files)
-        spark, at = self.ref.sparkSession, f"initiative={initiative}/data_date_part={date}"
-        diff = spark.read.schema(differences.SCHEMA).parquet(f"{path.rstrip('/')}/differences/{at}")
-        dups = spark.read.schema(duplicates.SCHEMA).parquet(f"{path.rstrip('/')}/duplicates/{at}")
-        ref, new = (projected(df, self.config, []) for df in (self.ref, self.new))
-        sinks.write_path(summary.summary(ref, new, diff, dups, self.config), path, "summary", initiative, date, 1)
+        """All results as Parquet below path."""
+        for kind, result, parts in (("differences", self.differences, files), ("duplicates", self.duplicates, files), ("summary", self.summary, 1)):
+            sinks.write_path(result, path, kind, initiative, date, parts)
 
     def write_tables(self, prefix: str, initiative: str, date: str, location: str | None = None, files: int | None = None) -> None:
         """All results into the catalog's result tables."""
-        spark = self.ref.sparkSession
-        sinks.create_tables(spark, prefix, location)
-        sinks.write_table(self.differences, prefix, "differences", initiative, date, files)
-        sinks.write_table(self.duplicates, prefix, "duplicates", initiative, date, files)
-
-        def written(kind: str) -> DataFrame:
-            rows = spark.table(sinks.table_name(prefix, kind))
-            return rows.where((rows.initiative == initiative) & (rows.data_date_part == date))
-
-        ref, new = (projected(df, self.config, []) for df in (self.ref, self.new))
-        done = summary.summary(ref, new, written("differences"), written("duplicates"), self.config)
-        sinks.write_table(done, prefix, "summary", initiative, date, 1)
+        sinks.create_tables(self.ref.sparkSession, prefix, location)
+        for kind, result, parts in (("differences", self.differences, files), ("duplicates", self.duplicates, files), ("summary", self.summary, 1)):
+            sinks.write_table(result, prefix, kind, initiative, date, parts)
 
 
 def compare(spark: SparkSession, ref: DataFrame | str, new: DataFrame | str, keys: list[str] | tuple[str, ...], **options) -> Comparison:
@@ -140,3 +144,11 @@ def parameters_of_json(text: str, execution_date: str | None = None) -> dict[str
         elif v is not None and not isinstance(v, dict):
             out[k.replace("PartitionSpecOverride", "PartitionSpec")] = str(v)
     return out | ({"partitionSpec": spec} if spec else {})
+
+
+def parse_arguments(args: list[str]) -> dict[str, str]:
+    """Parameters from `key=value` arguments (quotes around a value go, if they are a pair) or a JSON object."""
+    if args and args[0].lstrip().startswith("{"):
+        return parameters_of_json(args[0])
+    pairs = [a.partition("=") for a in args]
+    return {k.strip(): specs.unquoted(v) for k, eq, v in pairs if eq and k.strip()}

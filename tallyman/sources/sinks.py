@@ -60,12 +60,12 @@ def write_table(df: DataFrame, prefix: str, kind: str, initiative: str, date: st
 
 
 def export_summary(df: DataFrame, path: str) -> None:
-    """The thirteen summary rows as a spreadsheet, or as CSV where no spreadsheet writer is installed or the path asks for it."""
+    """The thirteen summary rows as a spreadsheet, or as CSV if the path says so; without a spreadsheet writer an error."""
     rows = df.limit(len(summary.ROWS)).toPandas()
     if path.endswith(".csv"):
         rows.to_csv(path, index=False)
         return
     try:
         rows.to_excel(path, sheet_name="Sheet1", index=False)
-    except ImportError:
-        rows.to_csv(path.rsplit(".", 1)[0] + ".csv", index=False)
+    except ImportError as e:
+        raise RuntimeError(f"no spreadsheet writer is installed for {path}; a path that ends in .csv needs none") from e

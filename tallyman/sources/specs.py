@@ -115,6 +115,8 @@ def normalize_spec(spec: str | None, execution_date: str) -> str | None:
     """A spec with its date tokens filled in, outer quotes dropped, and parts left out that want any value or are no part."""
     day = dt.date.fromisoformat(execution_date)
     text = (spec or "").strip()
+    if len(text) >= 2 and text[0] == text[-1] and text[0] in "\"'" and text.count(text[0]) == 2:
+        text = unquoted(text)
     for token, form in SPEC_TOKENS.items():
         text = text.replace(token, day.strftime(form))
     parts = []

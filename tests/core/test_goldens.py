@@ -232,3 +232,34 @@ def test_percentages(spark):
 
     one = spark.range(1)
     assert one.select(percentage(F.lit(5), F.lit(0)), percentage(F.lit(1), F.lit(3))).first()[:] == ("-", "33.3333%")
+
+
+def test_ids_name_keys_but_do_not_join_them(spark):
+    """(`a_b`, `c`) and (`a`, `b_c`) have one id and are two keys."""
+    kind = "p string, q string, v int"
+    ref = spark.createDataFrame([("a_b", "c", 1), ("a", "b_c", 2)], kind)
+    new = spark.createDataFrame([("a_b", "c", 1), ("a", "b_c", 3), ("a", "b_c", 3)], kind)
+    got = {(r.metric, r.universe): (r.numerator, r.samples) for r in compare(spark, ref, new, keys=["p", "q"]).summary.collect()}
+    assert got["Unique IDs", "REF"][0] == got["Unique IDs", "NEW"][0] == "2"
+    assert got["Global quality", "BOTH"][0] == "1" and got["duplicates (only in new)", "NEW"] == ("1", "a_b_c")
+    assert got["1:1 (all columns)", "BOTH"] == got["1:1 (match & no_match cols)", "BOTH"] == ("1", "a_b_c")
+
+
+def test_random_samples(spark):
+    ref = spark.range(100).select(F.col("id").cast("int"), F.lit("x").alias("v"))
+    new = ref.where("id < 0")
+    pick = lambda **o: compare(spark, ref, new, keys=["id"], samples=5, **o).summary.where("metric = '1:0 (only in ref)'").first().samples.split(",")
+    assert pick() == ["0", "1", "10", "11", "12"]
+    assert pick(sample_seed=1) == pick(sample_seed=1) != pick(sample_seed=2) and len(set(pick(sample_seed=2))) == 5
+
+
+def test_lossy_casts(spark):
+    ref = spark.createDataFrame([(1, 1, "a")], "id int, n int, t string")
+    new = spark.createDataFrame([(1, D("1.50"), "a"), (2, D("2.00"), "b"), (3, None, "c"), (4, D("99999999999.00"), "d")], "id int, n decimal(20,2), t string")
+    assert rows_of(compare(spark, ref, new, keys=["id"]).lossy_casts) == [("n", 1, 1)]
+    assert compare(spark, ref, ref, keys=["id"]).lossy_casts.count() == 0
+
+
+def test_names_with_quotes(spark):
+    ref = spark.createDataFrame([(1, "x"), (1, "y")], ["id", "it's"])
+    assert rows_of(compare(spark, ref, ref, keys=["id"], prune_constants=False).duplicates, "origin", "variations") == [("new", "it's: [x, y]"), ("ref", "it's: [x, y]")]

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyman import cli
@@ -62,3 +63,15 @@ def test_command_line(spark, tmp_path):
     assert done.columns == ["v"]
     assert spark.read.parquet(f"{tmp_path}/out/p/differences").count() == 1
     assert os.path.exists(tmp_path / "s.csv") and done.input_files()[0] >= 1
+
+
+def test_a_spreadsheet_without_a_writer_is_an_error(spark, tmp_path, monkeypatch):
+    import pandas as pd
+
+    def absent(*a, **k):
+        raise ImportError("no writer")
+
+    monkeypatch.setattr(pd.DataFrame, "to_excel", absent)
+    ref = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(RuntimeError, match="spreadsheet"):
+        sinks.export_summary(compare(spark, ref, ref, keys=["id"]).summary, str(tmp_path / "s.xlsx"))
