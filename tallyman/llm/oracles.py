@@ -35,7 +35,7 @@ def op1_sql(rules: RepetitionRules = RepetitionRules()) -> str:
         f"p AS ({_words('doc_id', 'documents', 'coalesce(text, chr(32))', _WORD)})",
         "b AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars FROM p GROUP BY doc_id)",
         f"l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) WHERE regexp_matches(line, '{_WORD}'))",
-        "ld AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, (sum(strlen(line)) - (SELECT sum(strlen(x)) FROM (SELECT unnest(list(DISTINCT line)) AS x)))::DOUBLE / sum(strlen(line)) AS share FROM l GROUP BY doc_id)",
+        "ld AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, (sum(length(line)) - (SELECT sum(length(x)) FROM (SELECT unnest(list(DISTINCT line)) AS x)))::DOUBLE / sum(length(line)) AS share FROM l GROUP BY doc_id)",
     ]
     shares, joins, limits = [], [], []
     for n, which in ((3, "many"), *((n, "later") for n in sorted(rules.ngram_limits))):

@@ -5,10 +5,12 @@ which share of a text's word characters lies inside n-grams that occurred
 before in the same text; equal lines are measured likewise.  A text is kept if
 every share stays at or below its limit.
 
-Null or empty text: no words, all measures 0, fails `min_words`.  Repeated
+Null or empty text: no words, all measures 0, fails `min_words`.  Characters are
+code points.  Repeated
 rows are measured one by one.  Only the named id and text columns are read, so
 further columns, whatever their names, don't matter.  No shuffle: the operator
-is one map over the input, its memory bounded by one Arrow batch.
+is one map over the input.  Texts are worked through some megabytes at a time; a
+single longer text has to fit with its words' hashes.
 """
 
 from __future__ import annotations
@@ -61,16 +63,17 @@ def _repeats(words: K.Words, owner: np.ndarray, n: int, at: np.ndarray) -> tuple
 
 def measure_block(words: K.Words, rules: RepetitionRules) -> dict[str, np.ndarray]:
     owner, n_words = words.owner(), words.counts()
-    body = K.BLANK_SEPARATED[words.data] & ((words.data & 0xC0) != 0x80)
-    upto = np.concatenate(([0], np.cumsum(body, dtype=np.int64)))
-    chars = upto[words.ends] - upto[words.starts]
+    # code points of the words: between words stand only one-byte characters
+    chars = words.ends - words.starts
+    if len(chars):
+        chars = chars - np.add.reduceat((words.data & 0xC0) == 0x80, words.starts, dtype=np.int32)
     total = np.maximum(K.per_text(chars, words.first), 1)
     many, _ = _repeats(words, owner, 3, K.window_index(words, 3))
     last = words.first[1:][owner] if len(owner) else owner  # end of each word's text
     out = {
         "n_words": n_words,
         "word_chars": K.per_text(chars, words.first),
-        "n_symbols": K.per_text(_SYMBOLS[words.data], words.texts),
+        "n_symbols": np.diff(np.searchsorted(np.flatnonzero(_SYMBOLS[words.data]), words.texts)),
         "n_repeat_words": K.per_text(K.covered(len(owner), many, 3), words.first),
     }
     kept = np.ones(len(n_words), bool)
@@ -89,10 +92,11 @@ def measure_block(words: K.Words, rules: RepetitionRules) -> dict[str, np.ndarra
         for line in raw[lo:hi].split(b"\n"):
             if not line.strip(K.SPACES):
                 continue
-            size += len(line)
+            points = len(line) if line.isascii() else len(line.decode(errors="replace"))
+            size += points
             if line in seen:
                 again += 1
-                again_size += len(line)
+                again_size += points
             else:
                 seen.add(line)
         dup_lines[i], dup_share[i] = again, again_size / max(size, 1)

@@ -1,8 +1,9 @@
 """The folder that driver and executors share, and tables written there.
 
 Cutting lineage goes through Parquet tables below `spark.checkpoint.dir`, so a
-lost executor never loses an intermediate result.  Where the setting is absent
-(tests), a folder is made once for the session and put into the setting.
+lost executor never loses an intermediate result.  Where the setting is absent, a
+local session (tests) gets a folder, made once and put into the setting; on a
+cluster that is an error.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get(KEY, None) or spark.conf.get(KEY, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{KEY} is not set: on a cluster it has to name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyman-")
         spark.conf.set(KEY, found)
     return found.rstrip("/")
