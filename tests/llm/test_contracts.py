@@ -209,3 +209,18 @@ def test_without_spans():
     assert decontaminate.without_spans("A b", [(0, 2)]) == ""
 
 
+def test_long_texts_are_cut_between_words():
+    """Words of a text taken in pieces are those of the text taken whole."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyman.llm import textkit as K
+
+    texts = [t or "" for _, t in cases.awkward_texts()]
+    data, at = K.buffers(pa.array(texts))
+    for members, lower in ((K.BLANK_SEPARATED, False), (K.ALNUM_WORDS, True)):
+        whole = K.tokenise(data, at, members, lower, limit=1 << 30)
+        for limit in (1, 7, 300, 5000):
+            cut = K.tokenise(data, at, members, lower, limit=limit)
+            for name in ("starts", "ends", "first", "hashes", "data"):
+                assert np.array_equal(getattr(whole, name), getattr(cut, name))

@@ -1,5 +1,7 @@
 """Every stage of the pipeline against brute force on the stage's own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tallyman.llm import linededup, queries
 from tallyman.llm.shared import written
@@ -68,3 +70,30 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_duplicates_go_row_by_row(spark):
+    text, other = "a b c d e f g h i j", "quite another text of more than five words"
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text, "x"), (5, text, "x"), (5, other, "y"), (7, near, "x"), (7, near + " z", "x"), (8, other, "z"), (9, "kept", "q"), (9, "kept", "q"), (None, text, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"kept": F.lit(1), "row_key": F.lit("r")})
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    got = cases.rows_of(out, "doc_id", "text")
+    assert out.columns == docs.columns
+    assert sorted(g for g in got if g[0] not in (None, 7)) == [(3, text), (5, other), (9, "kept")]
+    assert sum(g[0] == 7 for g in got) == 1 and (None, text) in got
+
+
+def test_clashing_columns_pass_all_stages(spark):
+    names = ("n_words", "spans", "items", "n_hit", "contaminated", "score", "n_lines", "n_removed", "kept_text", "kept", "component_id", "_key", "_gone", "_own", "a.b")
+    docs = cases.documents(spark).withColumns({n: F.lit(n) for n in names})
+    before = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, cases.DATA), "test")
+        assert docs.columns == before
+    assert all(r[n] == n for r in docs.collect() for n in names)
+    plain = {r.doc_id: r.text for r in docs.collect()}
+    docs = cases.documents(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, cases.DATA), "test")
+    assert plain == {r.doc_id: r.text for r in docs.collect()}

@@ -81,6 +81,48 @@ def test_learns(spark, model):
     assert got.score.between(0, 1).all()
 
 
+def naive_score(model, text):
+    """One word at a time, in plain loops; only a word's buckets come from the operator."""
+    w, net = {k: v.astype(float) for k, v in model.weights.items()}, model.net
+    words, h = text.lower().split(), net.hidden
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        inputs, _ = X.word_inputs(K.tokenise(*K.buffers(pa.array([word])), lower=True), net)
+        return np.concatenate((w["words"][inputs.bucket[0]], np.mean([w["chars"][g] for g in inputs.grams], axis=0)))
+
+    def states(vectors, side):
+        state, out = np.zeros(h), []
+        for x in vectors:
+            gate, inner = x @ w[f"x{side}"] + w[f"c{side}"], state @ w[f"u{side}"] + w[f"d{side}"]
+            z, r = sig(gate[:h] + inner[:h]), sig(gate[h : 2 * h] + inner[h : 2 * h])
+            state = z * state + (1 - z) * np.tanh(gate[2 * h :] + r * inner[2 * h :])
+            out.append(state)
+        return out
+
+    logits = []
+    for start in range(0, max(1, len(words) - net.window + net.stride), net.stride):
+        vectors = [vector(x) for x in words[start : start + net.window]]
+        both = [np.concatenate(p) for p in zip(states(vectors, "f"), states(vectors[::-1], "b")[::-1], strict=True)]
+        energy = [np.tanh(x @ w["att"] + w["att_c"]) @ w["att_v"] for x in both]
+        weight = np.exp(np.array(energy) - max(energy))
+        logits.append(sum(a * x for a, x in zip(weight / weight.sum(), both, strict=True)) @ w["out"] + w["out_c"][0])
+    return sig(model.scale * max(logits) + model.shift)
+
+
+def test_scores_are_those_of_a_plain_forward_pass(spark, model):
+    texts = [t for _, t, _ in rows(40, seed=5)] + ["one", " ".join(f"w{i}" for i in range(85))]
+    got = {r.text: r.score for r in X.score_texts(spark.createDataFrame([(t,) for t in texts], "text string"), model, ["text"]).collect()}
+    for text in texts:
+        assert got[text] == pytest.approx(naive_score(model, text), abs=1e-3)
+
+
+def test_sample_is_bounded_by_characters(spark):
+    df = spark.createDataFrame(rows(), "doc_id long, text string, toxic int")
+    small = X.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), how=X.TrainingParams(chars=200, steps=4, passes=1))
+    assert X.score_texts(df, small, ["doc_id"]).count() == df.count()
+
+
 def test_odd_rows(spark, model):
     odd = [(1, None), (2, ""), (3, " \n"), (None, "some words"), (5, "x" * 3000), (5, "x" * 3000), (6, "word " * 30000 + "zorkaei")]
     df = spark.createDataFrame(odd, "doc_id long, text string")
