@@ -11,10 +11,13 @@ from the start.
    sketches meet.  The order is rarest first, hence a passage in a third of all
    documents makes no lists unless it is most of the text, and a value that one
    class alone holds makes none.
-2. Classes that meet in lists form clusters (contraction, distributed).  A
-   cluster's classes are dealt into blocks, and each pair of blocks is a task.
-3. In a task the overlaps of sketches are counted, the union sketch estimates
-   similarity, and what passes is verified on the full sets.  Pairs already
+2. In a list, sizes and the union's sketch estimate whether classes can be
+   linked: each list's first class with the others, then, where a list still
+   holds several components, all pairs across components, in blocks, inside a
+   join that lets out links only.  Classes that merely share a passage are thus
+   never joined.  Components of estimated links are clusters.
+3. A cluster's classes are dealt into blocks, and each pair of blocks is a task
+   that counts overlaps again and verifies on the full sets.  Pairs already
    connected are skipped, and a task reports a spanning forest, not its pairs.
 4. The verified links' components give each class the least id it reaches.
 
@@ -32,12 +35,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as K
 from .components import connected_components
-from .shared import apart, bounded, forget, ship, written
+from .shared import apart, bounded, dealt_join, forget, ship, written
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -91,7 +94,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicateP
                     k2.append(two)
                     kept.append(s[: params.k])
                     at.append(at[-1] + len(kept[-1]))
-                values = np.concatenate(kept).view(np.int64)
+                values = (np.concatenate(kept) ^ K.U64(1 << 63)).view(np.int64)  # signed, in the order of the unsigned
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int64()))
                 ids = batch.column(0).slice(lo, words.n_texts)
                 keys = batch.column(2).slice(lo, words.n_texts)
@@ -101,19 +104,85 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicateP
     return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_row_key")).mapInArrow(K.tidy(run), f"`{id_col}` {kind}, row_key long, n_shingles long, k1 long, k2 long, sketch array<long>")
 
 
-def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataFrame:
-    """(node, component) of the classes that share a list with another."""
+def inverted_lists(classes: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """value, k1: the lists in which linked classes meet, of values that several classes retain."""
     values = classes.select("k1", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
-    holders = values.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("value"))).where(F.col("df") > 1)
+    counts = written(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1), "counts")
+    holders = dealt_join(values, counts, ["value"], "df", "k1")
     own = Window.partitionBy("k1")
     ranked = holders.withColumns({"rank": F.row_number().over(own.orderBy("df", "value")), "shared": F.count(F.lit(1)).over(own)})
     part = F.floor((F.col("m") * params.percent + 99) / 100)
     overlap = F.when(F.col("m") * 100 >= params.percent * params.k - 100, F.least(part, F.lit(params.overlap))).otherwise(part)
     # values that no other class holds come first in the order and make no lists
     first = F.col("m") - overlap + 1 - (F.col("m") - F.col("shared"))
-    lists = ranked.where(F.col("rank") <= first).select("value", "k1")
-    pairs = lists.withColumn("a", F.min("k1").over(Window.partitionBy("value"))).where(F.col("a") != F.col("k1"))
-    return connected_components(pairs.select("a", F.col("k1").alias("b")).distinct(), "clusters")
+    lists = written(ranked.where(F.col("rank") <= first).select("value", "k1"), "lists")
+    forget(counts)
+    return lists
+
+
+def _estimated(x: Column, y: Column, params: NearDuplicateParams) -> Column:
+    """Whether two held classes (n_shingles, sketch) can be linked by their sizes and their union's sketch."""
+    likely = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * params.percent
+    both = F.array_intersect(x["sketch"], y["sketch"])
+    enough = F.size(both) * params.k >= F.least(F.size(x["sketch"]), F.size(y["sketch"])) * params.overlap
+    union = F.slice(F.sort_array(F.array_union(x["sketch"], y["sketch"])), 1, params.k)
+    return likely & enough & (F.size(F.array_intersect(both, union)) * params.k >= F.size(union) * params.overlap)
+
+
+def _blocks(size: Column, params: NearDuplicateParams) -> Column:
+    few = F.ceil(size / params.block)
+    return F.when(few <= params.many, few).otherwise(F.greatest(F.lit(params.many), F.ceil(size / params.most))).cast("int")
+
+
+def _head_links(met: DataFrame, held: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """(a, b): estimated links of each list's first class with the list's others."""
+    pairs = written(met.where(F.col("a") != F.col("k1")).select("a", F.col("k1").alias("b")).distinct(), "pairs")
+    stars = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_pairs"))
+    heads = written(stars.join(held.select(F.col("k1").alias("a"), F.col("own").alias("x")), "a"), "stars")
+    left = pairs.join(bounded(held.select(F.col("k1").alias("b"), F.col("own").alias("y")), held), "b")
+    links = written(dealt_join(left, heads, ["a"], "n_pairs", "b").where(_estimated(F.col("x"), F.col("y"), params)).select("a", "b"), "head-links")
+    forget(pairs, heads)
+    return links
+
+
+def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """(a, b): estimated links between components, of all pairs in lists that hold several."""
+    known = met.select("value", "k1").join(labels.select(F.col("node").alias("k1"), "component"), "k1", "left")
+    known = written(known.withColumn("component", F.coalesce("component", "k1")), "labelled")
+    mixed = known.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n_list"))
+    mixed = written(mixed.where(F.col("least") != F.col("most")).select("value", "n_list"), "mixed")
+    rows = dealt_join(known, mixed, ["value"], "n_list", "k1").join(bounded(held), "k1")
+    rows = rows.withColumn("blocks", _blocks(F.col("n_list"), params)).withColumn("mine", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int"))
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["value", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")]
+    left, right = (dealt.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("mine", "k1", "component", "own"))) for side in "ab")
+    on = F.lit(True)
+    for c in ("value", "p", "q"):
+        on = on & (left[c] == right[c])
+    # a pair inside one block is met in (p, p) only
+    on = on & (F.col("component_a") != F.col("component_b")) & (F.col("k1_a") < F.col("k1_b")) & ((left["p"] == left["q"]) | (F.col("mine_a") != F.col("mine_b")))
+    met_pairs = left.join(right, on & _estimated(F.col("own_a"), F.col("own_b"), params))
+    links = written(met_pairs.select(F.col("k1_a").alias("a"), F.col("k1_b").alias("b")).distinct(), "other-links")
+    forget(known, mixed)
+    return links
+
+
+def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataFrame:
+    """(node, component) of the classes that are connected by estimated links."""
+    lists = inverted_lists(classes, params)
+    heads = written(lists.groupBy("value").agg(F.min("k1").alias("a"), F.count(F.lit(1)).alias("n_list")).where(F.col("n_list") > 1), "heads")
+    met = written(dealt_join(lists, heads, ["value"], "n_list", "k1").select("value", "k1", "a"), "met")
+    wanted = written(met.select("k1").distinct(), "wanted")
+    own = F.struct(F.col("n_shingles").alias("n"), "sketch").alias("own")
+    held = written(classes.join(bounded(wanted), "k1").select("k1", own), "held")
+    near = _head_links(met, held, params)
+    labels = connected_components(near, "heads")
+    far = _other_links(met, held, labels, params)
+    if far.limit(1).count():
+        forget(labels)
+        labels = connected_components(near.unionByName(far), "clusters")
+    forget(lists, heads, met, wanted, held, near, far)
+    return labels
 
 
 def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params: NearDuplicateParams) -> list[tuple[int, int]]:
@@ -168,9 +237,7 @@ def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params:
 def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, id_col: str, text_col: str, params: NearDuplicateParams) -> DataFrame:
     """(a, b): links between classes that hold on the full sets, enough to connect each component."""
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    few = F.ceil(F.col("size") / params.block)
-    blocks = F.when(few <= params.many, few).otherwise(F.greatest(F.lit(params.many), F.ceil(F.col("size") / params.most)))
-    dealt = clusters.join(sizes.withColumn("blocks", blocks.cast("int")), "component").select(F.col("node").alias("k1"), F.col("component").alias("cluster"), "blocks")
+    dealt = clusters.join(sizes.withColumn("blocks", _blocks(F.col("size"), params)), "component").select(F.col("node").alias("k1"), F.col("component").alias("cluster"), "blocks")
     wanted = dealt.join(classes.select("k1", "k2", F.col("first_id").alias("_doc")), "k1").select("_doc", "k1", "k2", "cluster", "blocks")
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body")).join(wanted, "_doc").select("body", "k1", "k2", "cluster", "blocks")
     names = ["cluster", "p", "q", "k1", "side", "values"]
@@ -221,7 +288,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, params: NearDuplicatePa
     ship(docs.sparkSession)
     named = written(sketches(docs, id_col, text_col, params), "sketches")
     full = named.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
-    classes = written(full.groupBy("k1", "k2").agg(F.min(id_col).alias("first_id"), F.first("sketch").alias("sketch")), "classes")
+    classes = written(full.groupBy("k1", "k2").agg(F.min(id_col).alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     clusters = candidate_clusters(classes, params)
     found = connected_components(verified_links(docs, classes, clusters, id_col, text_col, params), "links")
     forget(clusters)

@@ -79,6 +79,24 @@ def bounded(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
 
 
+def dealt_join(many: DataFrame, few: DataFrame, keys: list[str], n: str, salt: str, share: int = 1000) -> DataFrame:
+    """many joined with few (a written table: one row a key, and in n how many rows of many it meets).
+
+    A small `few` is broadcast.  Beyond that, keys with over a thousandth of all
+    rows, of which there are less than a thousand, are dealt over several tasks
+    by a hash of `salt`.
+    """
+    broadcast = bounded(few)
+    if broadcast is not few:
+        return many.join(broadcast, keys)
+    total = few.agg(F.sum(n)).first()[0] or 0
+    most = max(1000, total // share)
+    hot = few.where(F.col(n) > most).select(*keys, F.ceil(F.col(n) / most).cast("int").alias("_parts"))
+    spread = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / most).cast("int") - 1)))
+    dealt = many.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(salt), F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
+    return dealt.join(spread, [*keys, "_salt"]).drop("_salt")
+
+
 def apart(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """docs with all columns but those needed under other names, so that none clashes with an operator's, and what restores docs' columns."""
     names = {c: c if c in needed else f"_col{i}" for i, c in enumerate(docs.columns)}

@@ -42,6 +42,33 @@ def test_op8_brute_force(spark, seed):
         assert got == brute.op8(rows)
 
 
+def test_op8_large_tables_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(shared, "BROADCAST_BYTES", 0)
+    rows = near_copies(5) + [(10**6 + i, " ".join(f"x{j}" for j in range(80)) + f" tail{i}") for i in range(1200)]
+    got = {r[0]: r[2] for r in cases.rows_of(minhash.near_duplicates(spark.createDataFrame(rows, DOCS)), "doc_id", "n_shingles", "component_id")}
+    few = brute.op8(rows[: len(rows) - 1200])
+    assert {i: got[i] for i in few} == {i: r[1] for i, r in few.items()}
+    assert {got[i] for i in got if i >= 10**6} == {10**6}
+
+
+def test_op8_a_shared_passage_makes_no_cluster(spark):
+    """Texts that share a passage meet in lists, but only those that can be linked are joined."""
+    rng, p = random.Random(1), minhash.NearDuplicateParams()
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(45))) for i in range(40)]
+    rows += [(100 + i, text + " end") for i, text in rows[:5]]
+    named = minhash.sketches(spark.createDataFrame(rows, DOCS), "doc_id", "text", p)
+    classes = shared.written(named.withColumnRenamed("doc_id", "first_id"), "classes")
+    found = cases.rows_of(minhash.candidate_clusters(classes, p), "node", "component")
+    ids = dict(cases.rows_of(classes, "k1", "first_id"))
+    groups = collections.defaultdict(set)
+    for node, component in found:
+        groups[component].add(ids[node])
+    assert sorted(map(sorted, groups.values())) == [[i, 100 + i] for i in range(5)]
+    lists = minhash.inverted_lists(classes, p)
+    assert lists.groupBy("value").count().where("count > 5").count() > 0
+
+
 def test_op8_tables(spark):
     docs = cases.rows_of(cases.documents(spark), "doc_id", "text")
     got = {r[0]: r[1:] for r in cases.rows_of(queries.op8_near_duplicates(spark, cases.DATA), "doc_id", "n_shingles", "component_id", "kept")}
