@@ -54,8 +54,8 @@ def test_op8_large_tables_are_not_broadcast(spark, monkeypatch):
 def test_op8_a_shared_passage_makes_no_cluster(spark):
     """Texts that share a passage meet in lists, but only those that can be linked are joined."""
     rng, p = random.Random(1), minhash.NearDuplicateParams()
-    passage = " ".join(f"p{i}" for i in range(70))
-    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(45))) for i in range(40)]
+    passage = " ".join(f"p{i}" for i in range(62))
+    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(56))) for i in range(40)]
     rows += [(100 + i, text + " end") for i, text in rows[:5]]
     named = minhash.sketches(spark.createDataFrame(rows, DOCS), "doc_id", "text", p)
     classes = shared.written(named.withColumnRenamed("doc_id", "first_id"), "classes")
