@@ -6,10 +6,12 @@ greatest (time, id) below the revisit's, checks the validators (entity tag by
 weak comparison, else modification date, and the payload digest where both
 sides have one) and merges the headers that a 304 answer may update.
 
-The join is two windows of bounded frames: time is cut into at most `slices`
-slices at approximate quantiles; inside a (URL, slice) the last response is
-carried forward, and what a slice hands on is one row per (URL, slice).  A URL
-with a third of all records is thus dealt over `slices` tasks.
+The join is two windows of bounded frames: time is cut at approximate quantiles
+into `slices` spans, and each span evenly into so many slices that one is meant
+to hold `slice_rows` records; inside a (URL, slice) the last response is carried
+forward, and what a slice hands on is one row per (URL, slice).  A URL with a
+third of all records is thus dealt over as many tasks as there are slices, and
+their number grows with the records.
 
 Defined results: null URL or time: never resolved, and never a source.  Of
 equal times the greater id is later; a response at the very time of a revisit
@@ -57,7 +59,20 @@ def merged_headers(stored: Column, update: Column) -> Column:
     return F.map_concat(kept, allowed)
 
 
-def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
+def _slice(time: Column, cuts: list[int], least: int, most: int, parts: int) -> Column:
+    """The number of a time's slice, which rises with time: cuts at or below it, then `parts` even parts of the span."""
+    if not cuts:
+        cuts = [least]
+    ends = F.array(*(F.lit(c).cast("long") for c in [least, *cuts, most + 1]))
+    span = F.size(F.filter(F.array(*(F.lit(c).cast("long") for c in cuts)), lambda c: c <= time))
+    if parts == 1:
+        return span.cast("long")
+    low, high = F.get(ends, span), F.get(ends, span + 1)
+    part = F.floor((time - low).cast("double") / F.greatest(high - low, F.lit(1)) * parts)
+    return span * F.lit(parts).cast("long") + F.greatest(F.lit(0), F.least(part, F.lit(parts - 1))).cast("long")
+
+
+def resolve_revisits(records: DataFrame, slices: int = 64, slice_rows: int = 1_000_000) -> DataFrame:
     """records (id, url, time long, kind, headers map, digest) to id, kind, verdict, source_id, headers, digest.
 
     Only records of kind `revisit` are resolved, and only those of kind
@@ -65,10 +80,10 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
     """
     revisit = F.col("kind").eqNullSafe("revisit")
     base = records.select("id", canonical_url(F.col("url")).alias("key"), "time", "kind", "headers", "digest")
-    cuts = base.agg(F.percentile_approx("time", [i / slices for i in range(1, slices)], 1000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    # a slice is the number of cuts at or below the time
-    slice_of = F.size(F.filter(F.array(*(F.lit(c).cast("long") for c in cuts)), lambda c: c <= F.col("time"))) if cuts else F.lit(0)
+    spread = F.percentile_approx("time", [i / slices for i in range(1, slices)], 1000) if slices > 1 else F.array()
+    seen = base.agg(F.count("time").alias("rows"), F.min("time").alias("least"), F.max("time").alias("most"), spread.alias("cuts")).first()
+    parts = max(1, -(-seen.rows // (slices * slice_rows)))
+    slice_of = _slice(F.col("time"), sorted(set(seen.cuts or [])), seen.least or 0, seen.most or 0, parts)
     usable = base.withColumn("slice", slice_of).where(F.col("key").isNotNull() & F.col("time").isNotNull())
     stored = F.struct(F.col("time"), F.col("id"), F.col("headers"), F.col("digest"))
     full = F.when(F.col("kind") == "response", stored)

@@ -331,8 +331,8 @@ def brute_revisits(records):
 RECORDS = "id long, url string, time long, kind string, headers map<string,string>, digest string"
 
 
-@pytest.mark.parametrize("slices", [1, 3, 64])
-def test_op6_brute_force(spark, slices):
+@pytest.mark.parametrize(("slices", "slice_rows"), [(1, 10**6), (3, 10**6), (64, 10**6), (1, 20), (3, 2), (8, 1)])
+def test_op6_brute_force(spark, slices, slice_rows):
     rng = random.Random(slices)
     urls = ["http://A.com/x", "https://www.a.com:443/x/", "a.com/x#f", "http://a.com/x?b=2&a=1", "http://a.com/x?a=1&b=2&", "http://b.org", None, ""]
     rows = []
@@ -340,7 +340,7 @@ def test_op6_brute_force(spark, slices):
         kind = rng.choice(["response", "revisit", "revisit"])
         headers = {k: v for k, v in (("etag", rng.choice(['"1"', 'W/"1"', '"2"'])), ("last-modified", rng.choice("de")), ("server", str(i)), ("date", str(i))) if rng.random() < 0.7}
         rows.append((i, rng.choice(urls), rng.choice([None, *range(60)]), kind, headers, rng.choice([None, "p", "p", "q"])))
-    got = {r.id: (r.verdict, r.source_id, r.headers, r.digest) for r in warc.resolve_revisits(spark.createDataFrame(rows, RECORDS).withColumn("key", F.lit(1)), slices).collect()}
+    got = {r.id: (r.verdict, r.source_id, r.headers, r.digest) for r in warc.resolve_revisits(spark.createDataFrame(rows, RECORDS).withColumn("key", F.lit(1)), slices, slice_rows).collect()}
     assert got == brute_revisits(rows)
 
 
