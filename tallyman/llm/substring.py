@@ -4,7 +4,8 @@ A window is `width` consecutive words of one text.  Every word inside a window
 whose word sequence also starts in a document with a smaller id is removed.
 
 1. Each partition turns its windows into sparse count-min cells (two rows,
-   counts 0, 1 and "2 or more"); cells are merged shard by shard as a stream.
+   counts 0, 1 and "2 or more"); cells are merged shard by shard as a stream, by
+   groups of partitions first where one shard has many cells.
    Only the merged "2 or more" bits reach the executors: 2 * 2**max_bits bits
    at most (64 MB by default), whatever the size of the corpus.  An estimate
    is never below the true count, so no repeated window is lost; a fuller
@@ -25,12 +26,14 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,8 @@ class SubstringParams:
     max_bits: int = 28
     #: Cells per row for each expected window.
     cells_per_window: float = 3.0
+    #: Cells of one shard of the sketch that one task is meant to merge.
+    merge_cells: int = 1 << 26
     #: Entries of step 2 that one shard is meant to hold.
     shard_entries: int = 1_000_000
     #: Documents whose lost positions are gathered together.
@@ -55,6 +60,8 @@ class SubstringParams:
     #: Windows (step 1) or entries (step 2) that a task gathers before it passes them on.
     flush_windows: int = 4_000_000
     flush: int = 1_500_000
+    #: Bytes of a text that are cut into words at a time when its kept words are told.
+    piece_bytes: int = K.BLOCK_BYTES
 
 
 def _window_hashes(words: K.Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,15 +85,21 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.decompress(blob[1:]), np.uint16 if blob[:1] == b"h" else np.uint32), dtype=np.int64)
 
 
-def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tuple[list[np.ndarray], int]:
-    """The merged sketch's "2 or more" bits, one packed array per row, and log2 of its cells."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    bits = max(_CELL_BITS, min(params.max_bits, int(np.ceil(np.log2(max(2, params.cells_per_window * size / 6))))))
+def _dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """df with equal keys together and in order, in as many tasks as the data need where that is more than the session's number."""
+    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartition(tasks, *keys) if tasks > own else df.repartition(*keys)).sortWithinPartitions(*keys)
+
+
+def repeated_bits(docs: DataFrame, text_col: str, windows: int, params: SubstringParams) -> tuple[list[np.ndarray], int]:
+    """The merged sketch's "2 or more" bits, one packed array per row, and log2 of its cells, for about so many windows."""
+    bits = max(_CELL_BITS, min(params.max_bits, int(np.ceil(np.log2(max(2, params.cells_per_window * windows))))))
     per_row, width, flush = 1 << (bits - _CELL_BITS), params.width, params.flush_windows
+    groups = max(1, -(-windows // (per_row * params.merge_cells)))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list] = ([], [])
-        n = 0
+        n, group = 0, TaskContext.get().partitionId()
 
         def out() -> Iterator[pa.RecordBatch]:
             for row, parts in enumerate(held):
@@ -99,8 +112,8 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
                 cells, again = cells[new], again[new]
                 ends = np.searchsorted(cells, np.arange(1, per_row + 1, dtype=np.uint64) << K.U64(_CELL_BITS))
                 low = cells & np.uint32((1 << _CELL_BITS) - 1)
-                rows = [(row * per_row + i, _pack(low[a:b]), _pack(low[a:b][again[a:b]])) for i, (a, b) in enumerate(zip(np.append(0, ends), ends, strict=False)) if b > a]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["shard", "once", "twice"])
+                rows = [(row * per_row + i, group % groups, _pack(low[a:b]), _pack(low[a:b][again[a:b]])) for i, (a, b) in enumerate(zip(np.append(0, ends), ends, strict=False)) if b > a]
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["shard", "group", "once", "twice"])
 
         for batch in batches:
             for _, words in K.words_of(K.text_column(batch, text_col)):
@@ -110,35 +123,51 @@ def repeated_bits(docs: DataFrame, text_col: str, params: SubstringParams) -> tu
                 n += len(one)
                 if n >= flush:
                     yield from out()
-                    n = 0
+                    n, group = 0, group + 1
         yield from out()
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen, many = None, np.zeros(1 << _CELL_BITS, bool), np.zeros(1 << _CELL_BITS, bool)
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zstandard.compress(np.packbits(many).tobytes(), 1)], pa.binary())], names=["shard", "bits"])
-            seen[:] = False
-            many[:] = False
-            return made
-
-        for batch in batches:
-            for shard, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now is not None and shard != now:
-                    yield out()
-                now = shard
-                cells = _unpack(once)
-                many[cells] |= seen[cells]
-                seen[cells] = True
-                many[_unpack(twice)] = True
-        if now is not None:
-            yield out()
-
-    cells = docs.select(text_col).mapInArrow(K.tidy(sketch), "shard int, once binary, twice binary")
-    merged = cells.repartition("shard").sortWithinPartitions("shard").mapInArrow(K.tidy(merge), "shard int, bits binary")
+    def united(add: Callable[[np.ndarray, np.ndarray, bytes, bytes], None]) -> Callable[[Iterator], Iterator]:
+        """What makes one row of every shard and group: its cells seen once or more, and twice or more, as bits."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, seen, many = None, np.zeros(1 << _CELL_BITS, bool), np.zeros(1 << _CELL_BITS, bool)
+
+            def out() -> pa.RecordBatch:
+                packed = [pa.array([zstandard.compress(np.packbits(x).tobytes(), 1)], pa.binary()) for x in (seen, many)]
+                seen[:] = False
+                many[:] = False
+                return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int64()), *packed], names=["shard", "group", "once", "twice"])
+
+            for batch in batches:
+                for shard, group, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if now is not None and (shard, group) != now:
+                        yield out()
+                    now = (shard, group)
+                    add(seen, many, once, twice)
+            if now is not None:
+                yield out()
+
+        return run
+
+    def add_cells(seen: np.ndarray, many: np.ndarray, once: bytes, twice: bytes) -> None:
+        cells = _unpack(once)
+        many[cells] |= seen[cells]
+        seen[cells] = True
+        many[_unpack(twice)] = True
+
+    def add_bits(seen: np.ndarray, many: np.ndarray, once: bytes, twice: bytes) -> None:
+        more, again = (np.unpackbits(np.frombuffer(zstandard.decompress(x), np.uint8)).view(bool) for x in (once, twice))
+        many |= (seen & more) | again
+        seen |= more
+
+    kind = "shard int, group long, once binary, twice binary"
+    cells = docs.select(text_col).mapInArrow(K.tidy(sketch), kind)
+    merged = _dealt(cells, len(_BASES) * per_row * groups if groups > 1 else 1, "shard", "group").mapInArrow(K.tidy(united(add_cells)), kind)
+    if groups > 1:
+        merged = _dealt(merged.withColumn("group", F.lit(0).cast("long")), 1, "shard").mapInArrow(K.tidy(united(add_bits)), kind)
     flags = [np.zeros(1 << (bits - 3), np.uint8) for _ in _BASES]
     step = 1 << (_CELL_BITS - 3)
-    for shard, packed in merged.toLocalIterator():
+    for shard, packed in merged.select("shard", "twice").toLocalIterator():
         row, i = divmod(shard, per_row)
         flags[row][i * step : (i + 1) * step] = np.frombuffer(zstandard.decompress(packed), np.uint8)
     return flags, bits
@@ -220,11 +249,12 @@ def _unpack_losses(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: SubstringParams) -> DataFrame:
     """doc, row_key, blob: the packed starts of the windows that each row loses."""
     spark = docs.sparkSession
-    flags, bits = repeated_bits(docs, text_col, params)
-    # Entries of step 2: windows estimated repeated, at the worst all that set a bit twice.
-    fill = float(np.mean([np.unpackbits(f[: 1 << 20]).mean() for f in flags]))
-    size = docs.count()
-    expected = max(size, int(fill * (1 << bits) * 2))
+    sizes = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.col(text_col))).alias("bytes")).first()
+    size, windows = sizes.rows, (sizes.bytes or 0) // 6
+    flags, bits = repeated_bits(docs, text_col, windows, params)
+    # Entries of step 2: windows that set a bit twice, and in a full sketch the single ones that meet two such bits.
+    fill = [float(np.unpackbits(f[: 1 << 20]).mean()) for f in flags]
+    expected = max(size, int(sum(fill) * (1 << bits)), int(windows * fill[0] * fill[1]))
     shards = max(8, -(-expected // params.shard_entries))
     sent = spark.sparkContext.broadcast(flags)
     width, flush = params.width, params.flush
@@ -351,8 +381,8 @@ def removed_positions(docs: DataFrame, id_col: str, text_col: str, params: Subst
             yield out()
 
     entries = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row_key"), F.col(text_col)).mapInArrow(K.tidy(candidates), _ENTRY)
-    settled = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(K.tidy(settle), "bucket int, blob binary")
-    return settled.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(K.tidy(gather), "doc long, row_key long, blob binary")
+    settled = _dealt(entries, shards, "shard").mapInArrow(K.tidy(settle), "bucket int, blob binary")
+    return _dealt(settled, buckets // 8, "bucket").mapInArrow(K.tidy(gather), "doc long, row_key long, blob binary")
 
 
 def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: SubstringParams = SubstringParams(), with_text: bool = True) -> DataFrame:
@@ -363,22 +393,33 @@ def deduplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: st
     both = texts.join(losses, (F.col(id_col) == F.col("_doc")) & (F.col("_row") == F.col("_key")), "left").select(id_col, text_col, F.col("blob").alias("_blob"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    width = params.width
+    width, piece = params.width, params.piece_bytes
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_gone, digest, kept = [], [], [], []
             for text, blob in zip(K.text_column(batch, text_col).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = text.encode().split()
-                n_words.append(len(words))
-                if blob:
-                    gone = K.covered(len(words), _unpack(blob), width)
-                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                n_gone.append(n_words[-1] - len(words))
-                left = b" ".join(words)
-                digest.append(hashlib.sha256(left).hexdigest())
+                raw, starts = text.encode(), _unpack(blob) if blob else np.zeros(0, np.int64)
+                gone = K.covered(int(starts[-1]) + width, starts, width) if len(starts) else np.zeros(0, bool)
+                n, left, told, parts = 0, 0, hashlib.sha256(), []
+                # piece by piece, so that a long text's words are never held all at once
+                for a, b in zip(cuts := K.word_cuts(np.frombuffer(raw, np.uint8), K.BLANK_SEPARATED, piece), cuts[1:], strict=False):
+                    words = raw[a:b].split()
+                    lost = gone[n : n + len(words)]
+                    n += len(words)
+                    if lost.any():
+                        words = [*compress(words, (~lost).tolist()), *words[len(lost) :]]
+                    if words:
+                        part = b" " * (left > 0) + b" ".join(words)
+                        left += len(words)
+                        told.update(part)
+                        if with_text:
+                            parts.append(part)
+                n_words.append(n)
+                n_gone.append(n - left)
+                digest.append(told.hexdigest())
                 if with_text:
-                    kept.append(left.decode())
+                    kept.append(b"".join(parts).decode())
             cols = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(digest, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string())] * with_text, names=[id_col, "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text)
 

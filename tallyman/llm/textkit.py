@@ -145,7 +145,7 @@ def _runs(data: np.ndarray, borders: np.ndarray, members: np.ndarray) -> tuple[n
     return starts, ends, mix64(np.add.reduceat(values, starts) + length.astype(np.uint64) * _LEN_SALT)
 
 
-def _cuts(data: np.ndarray, members: np.ndarray, limit: int) -> list[int]:
+def word_cuts(data: np.ndarray, members: np.ndarray, limit: int) -> list[int]:
     """Places about `limit` bytes apart at which no word is cut (a longer word stays whole)."""
     cuts, at, n = [0], limit, len(data)
     while at < n:
@@ -169,7 +169,7 @@ def tokenise(data: np.ndarray, texts: np.ndarray, members: np.ndarray = BLANK_SE
     if lower:
         data = _LOWER[data]
     parts = []
-    for a, b in zip(cuts := _cuts(data, members, limit), cuts[1:], strict=False):
+    for a, b in zip(cuts := word_cuts(data, members, limit), cuts[1:], strict=False):
         near = texts[np.searchsorted(texts, a) : np.searchsorted(texts, b, "right")]
         starts, ends, hashes = _runs(data[a:b], near - a, members)
         parts.append((starts + a, ends + a, hashes))

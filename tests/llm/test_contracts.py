@@ -1,5 +1,7 @@
 """Registered queries' digests against brute force, on whole small tables and awkward rows."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,18 @@ def test_op5_full_sketch_and_many_partitions(spark):
     assert substring.deduplicate_substrings(docs.limit(0)).count() == 0
 
 
+def test_op5_sketch_merged_by_groups_and_long_texts_in_pieces(spark):
+    rows = [r for r in cases.awkward_texts() if r[0] != 126]
+    rows += [(1000 + i, text) for i, text in rows[:30]]
+    docs = spark.createDataFrame(rows, DOCS).repartition(6)
+    params = substring.SubstringParams(merge_cells=500, flush_windows=300, piece_bytes=40)
+    bits = [substring.repeated_bits(docs, "text", 40_000, p)[0] for p in (params, substring.SubstringParams())]
+    assert all((one == other).all() and one.any() for one, other in zip(*bits, strict=True))
+    whole = sorted(cases.rows_of(substring.deduplicate_substrings(docs, params=params), "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"))
+    assert [r[:4] for r in whole] == sorted(brute.op5(rows))
+    assert all(hashlib.sha256(r[4].encode()).hexdigest() == r[3] for r in whole)
+
+
 def test_op7(spark, folder):
     from tokenizers import Tokenizer
     import public_tokenizers
