@@ -43,6 +43,8 @@ from .components import connected_components
 from .shared import apart, bounded, dealt_join, forget, ship, written
 
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes on disk up to which a table of lists or sketches is broadcast.
+_BROADCAST = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,7 @@ def inverted_lists(classes: DataFrame, params: NearDuplicateParams) -> DataFrame
     """value, k1: the lists in which linked classes meet, of values that several classes retain."""
     values = classes.select("k1", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     counts = written(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1), "counts")
-    holders = dealt_join(values, counts, ["value"], "df", "k1")
+    holders = dealt_join(values, counts, ["value"], "df", "k1", limit=_BROADCAST)
     own = Window.partitionBy("k1")
     ranked = holders.withColumns({"rank": F.row_number().over(own.orderBy("df", "value")), "shared": F.count(F.lit(1)).over(own)})
     part = F.floor((F.col("m") * params.percent + 99) / 100)
@@ -139,8 +141,8 @@ def _head_links(met: DataFrame, held: DataFrame, params: NearDuplicateParams) ->
     pairs = written(met.where(F.col("a") != F.col("k1")).select("a", F.col("k1").alias("b")).distinct(), "pairs")
     stars = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_pairs"))
     heads = written(stars.join(held.select(F.col("k1").alias("a"), F.col("own").alias("x")), "a"), "stars")
-    left = pairs.join(bounded(held.select(F.col("k1").alias("b"), F.col("own").alias("y")), held), "b")
-    links = written(dealt_join(left, heads, ["a"], "n_pairs", "b").where(_estimated(F.col("x"), F.col("y"), params)).select("a", "b"), "head-links")
+    left = pairs.join(bounded(held.select(F.col("k1").alias("b"), F.col("own").alias("y")), held, _BROADCAST), "b")
+    links = written(dealt_join(left, heads, ["a"], "n_pairs", "b", limit=_BROADCAST).where(_estimated(F.col("x"), F.col("y"), params)).select("a", "b"), "head-links")
     forget(pairs, heads)
     return links
 
@@ -151,7 +153,7 @@ def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: Nea
     known = written(known.withColumn("component", F.coalesce("component", "k1")), "labelled")
     mixed = known.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n_list"))
     mixed = written(mixed.where(F.col("least") != F.col("most")).select("value", "n_list"), "mixed")
-    rows = dealt_join(known, mixed, ["value"], "n_list", "k1").join(bounded(held), "k1")
+    rows = dealt_join(known, mixed, ["value"], "n_list", "k1", limit=_BROADCAST).join(bounded(held, most=_BROADCAST), "k1")
     rows = rows.withColumn("blocks", _blocks(F.col("n_list"), params)).withColumn("mine", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = ["value", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")]
@@ -171,10 +173,10 @@ def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataF
     """(node, component) of the classes that are connected by estimated links."""
     lists = inverted_lists(classes, params)
     heads = written(lists.groupBy("value").agg(F.min("k1").alias("a"), F.count(F.lit(1)).alias("n_list")).where(F.col("n_list") > 1), "heads")
-    met = written(dealt_join(lists, heads, ["value"], "n_list", "k1").select("value", "k1", "a"), "met")
+    met = written(dealt_join(lists, heads, ["value"], "n_list", "k1", limit=_BROADCAST).select("value", "k1", "a"), "met")
     wanted = written(met.select("k1").distinct(), "wanted")
     own = F.struct(F.col("n_shingles").alias("n"), "sketch").alias("own")
-    held = written(classes.join(bounded(wanted), "k1").select("k1", own), "held")
+    held = written(classes.join(bounded(wanted, most=_BROADCAST), "k1").select("k1", own), "held")
     near = _head_links(met, held, params)
     labels = connected_components(near, "heads")
     far = _other_links(met, held, labels, params)

@@ -73,20 +73,20 @@ def table_bytes(df: DataFrame) -> int | None:
 BROADCAST_BYTES = 8 << 20
 
 
-def bounded(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
-    """df with a broadcast hint if its written table (or `table`, of which it is a view) is small; else df itself, for a shuffled join."""
-    size = table_bytes(df if table is None else table)
-    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
+def bounded(df: DataFrame, table: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """df with a broadcast hint if its written table (or `table`, of which it is a view) is small (of `most` bytes, if less); else df itself, for a shuffled join."""
+    size, limit = table_bytes(df if table is None else table), BROADCAST_BYTES if most is None else min(most, BROADCAST_BYTES)
+    return F.broadcast(df) if size is not None and size <= limit else df
 
 
-def dealt_join(many: DataFrame, few: DataFrame, keys: list[str], n: str, salt: str, share: int = 1000) -> DataFrame:
+def dealt_join(many: DataFrame, few: DataFrame, keys: list[str], n: str, salt: str, share: int = 1000, limit: int | None = None) -> DataFrame:
     """many joined with few (a written table: one row a key, and in n how many rows of many it meets).
 
     A small `few` is broadcast.  Beyond that, keys with over a thousandth of all
     rows, of which there are less than a thousand, are dealt over several tasks
     by a hash of `salt`.
     """
-    broadcast = bounded(few)
+    broadcast = bounded(few, most=limit)
     if broadcast is not few:
         return many.join(broadcast, keys)
     total = few.agg(F.sum(n)).first()[0] or 0
