@@ -19,11 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEY = "spark.checkpoint.dir"
+#: What one Arrow batch to a Python worker is meant to hold, and the setting for it with its default.
+BATCH_BYTES, BATCH_KEY, BATCH_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each Spark application, so that their Python workers can import it."""
+    """Sends this package to the executors, once for each Spark application, so that their Python workers can import it.
+
+    Where the session leaves the size of Arrow batches at the default, they are
+    made smaller, so that a task's memory follows its longest text, not 10,000 rows.
+    """
     context = spark.sparkContext
+    if (spark.conf.get(BATCH_KEY, "") or "").rstrip("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
     if getattr(context, "_tallyman_shipped", False):
         return
     package, held = Path(__file__).parent.parent, io.BytesIO()
