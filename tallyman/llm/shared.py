@@ -30,7 +30,7 @@ def ship(spark: SparkSession) -> None:
     made smaller, so that a task's memory follows its longest text, not 10,000 rows.
     """
     context = spark.sparkContext
-    if (spark.conf.get(BATCH_KEY, "") or "").rstrip("b") == str(BATCH_DEFAULT):
+    if spark.conf.get(BATCH_KEY, str(BATCH_DEFAULT)).rstrip("b") == str(BATCH_DEFAULT):
         spark.conf.set(BATCH_KEY, BATCH_BYTES)
     if getattr(context, "_tallyman_shipped", False):
         return
