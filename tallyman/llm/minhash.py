@@ -13,9 +13,10 @@ from the start.
    class alone holds makes none.
 2. In a list, sizes and the union's sketch estimate whether classes can be
    linked: each list's first class with the others, then, where a list still
-   holds several components, all pairs across components, in blocks, inside a
-   join that lets out links only.  Classes that merely share a passage are thus
-   never joined.  Components of estimated links are clusters.
+   holds several components, all pairs across components, in blocks; each pair
+   of blocks is a task that reports a spanning forest of its components, not its
+   links.  Classes that merely share a passage are thus never joined.
+   Components of estimated links are clusters.
 3. A cluster's classes are dealt into blocks, and each pair of blocks is a task
    that counts overlaps again and verifies on the full sets.  Pairs already
    connected are skipped, and a task reports a spanning forest, not its pairs.
@@ -30,7 +31,7 @@ are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,7 +149,7 @@ def _head_links(met: DataFrame, held: DataFrame, params: NearDuplicateParams) ->
 
 
 def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: NearDuplicateParams) -> DataFrame:
-    """(a, b): estimated links between components, of all pairs in lists that hold several."""
+    """(a, b): estimated links that join components, from all pairs in lists that hold several; a pair of a list's blocks gives a spanning forest."""
     known = met.select("value", "k1").join(labels.select(F.col("node").alias("k1"), "component"), "k1", "left")
     known = written(known.withColumn("component", F.coalesce("component", "k1")), "labelled")
     mixed = known.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n_list"))
@@ -156,19 +157,47 @@ def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: Nea
     rows = dealt_join(known, mixed, ["value"], "n_list", "k1", limit=_BROADCAST).join(bounded(held, most=_BROADCAST), "k1")
     rows = rows.withColumn("blocks", _blocks(F.col("n_list"), params)).withColumn("mine", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["value", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")]
-    left, right = (dealt.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in ("mine", "k1", "component", "own"))) for side in "ab")
-    on = F.lit(True)
-    for c in ("value", "p", "q"):
-        on = on & (left[c] == right[c])
-    # a pair inside one block is met in (p, p) only
-    on = on & (F.col("component_a") != F.col("component_b")) & (F.col("k1_a") < F.col("k1_b")) & ((left["p"] == left["q"]) | (F.col("mine_a") != F.col("mine_b")))
-    met_pairs = left.join(right, on & _estimated(F.col("own_a"), F.col("own_b"), params))
-    links = written(met_pairs.select(F.col("k1_a").alias("a"), F.col("k1_b").alias("b")).distinct(), "other-links")
+    dealt = dealt.select("value", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "k1", "mine", "component", F.col("own.n").alias("n"), "own.sketch")
+
+    def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for links in _spanned(batches, params):
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], names=["a", "b"])
+
+    found = dealt.repartition("value", "p", "q").sortWithinPartitions("value", "p", "q").mapInArrow(K.tidy(span), "a long, b long")
+    links = written(found.distinct(), "other-links")
     forget(known, mixed)
     return links
 
 
+def _spanned(batches: Iterator[pa.RecordBatch], params: NearDuplicateParams) -> Iterator[list[tuple[int, int]]]:
+    """For each run of rows with the same value, p and q: estimated links that span its classes' components."""
+    now, held = None, []
+
+    def out() -> list[tuple[int, int]]:
+        # a pair inside one block is met in (p, p) only
+        if len({row[2] for row in held}) < 2 or (now[1] != now[2] and len({row[1] for row in held}) < 2):
+            return []
+        held.sort(key=lambda row: row[0])
+        k1, mine, component, n, kept = zip(*held, strict=True)
+        parent = np.unique(np.array(component, np.int64), return_inverse=True)[1]
+        return _forest(np.array(k1, np.int64), np.array(mine), np.array(n, np.int64), list(kept), parent, lambda i, j: True, params)
+
+    for batch in batches:
+        value, p, q, k1, mine, component, n = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns[:7])
+        sketch = batch.column(7)
+        at = sketch.offsets.to_numpy().tolist()
+        flat = sketch.values.to_numpy().view(np.uint64) ^ K.U64(1 << 63)
+        for i, key in enumerate(zip(value, p, q, strict=True)):
+            if now is not None and key != now:
+                if links := out():
+                    yield links
+                held = []
+            now = key
+            held.append((k1[i], mine[i], component[i], n[i], flat[at[i] : at[i + 1]]))
+    if held and (links := out()):
+        yield links
+
+
 def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataFrame:
     """(node, component) of the classes that are connected by estimated links."""
     lists = inverted_lists(classes, params)
@@ -187,11 +216,10 @@ def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataF
     return labels
 
 
-def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params: NearDuplicateParams) -> list[tuple[int, int]]:
-    """Verified links that span the components of a task's classes; with two sides, only pairs across count."""
+def _forest(keys: np.ndarray, side: np.ndarray, size: np.ndarray, kept: list[np.ndarray], parent: np.ndarray, confirmed: Callable[[int, int], bool], params: NearDuplicateParams) -> list[tuple[int, int]]:
+    """Estimated and confirmed links that span the components of a task's classes, from those in parent on; with two sides, only pairs across count."""
     n, k = len(keys), params.k
-    size = np.array([len(s) for s in sets])
-    values = np.concatenate([s[:k] for s in sets])
+    values = np.concatenate(kept)
     row = np.repeat(np.arange(n), np.minimum(size, k))
     # inverted lists of the values that several classes retain
     order = np.argsort(values, kind="stable")
@@ -204,7 +232,6 @@ def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params:
     padded = np.full((n, k), np.iinfo(np.uint64).max, np.uint64)
     padded[row, np.concatenate([np.arange(min(s, k)) for s in size.tolist()])] = values
     across = len(np.unique(side)) > 1
-    parent = np.arange(n)
     links: list[tuple[int, int]] = []
     for i in range(n - 1):
         rest = np.arange(i + 1, n)
@@ -229,8 +256,7 @@ def _forest(keys: np.ndarray, side: np.ndarray, sets: list[np.ndarray], params:
         for j in rest.tolist():
             if parent[j] == parent[i]:
                 continue
-            inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * inter >= params.percent * (size[i] + size[j] - inter):
+            if confirmed(i, j):
                 links.append((int(keys[i]), int(keys[j])))
                 parent[parent == parent[j]] = parent[i]
     return links
@@ -263,7 +289,14 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, id_
 
         def out() -> pa.RecordBatch:
             keys = sorted(held)
-            links = _forest(np.array(keys, np.int64), np.array([held[x][0] for x in keys]), [held[x][1] for x in keys], params) if len(keys) > 1 else []
+            sets = [held[x][1] for x in keys]
+            size = np.array([len(s) for s in sets])
+
+            def confirmed(i: int, j: int) -> bool:
+                inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                return bool(100 * inter >= params.percent * (size[i] + size[j] - inter))
+
+            links = _forest(np.array(keys, np.int64), np.array([held[x][0] for x in keys]), size, [s[: params.k] for s in sets], np.arange(len(keys)), confirmed, params) if len(keys) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], names=["a", "b"])
 
         for batch in batches:

@@ -69,6 +69,27 @@ def test_op8_a_shared_passage_makes_no_cluster(spark):
     assert lists.groupBy("value").count().where("count > 5").count() > 0
 
 
+@pytest.mark.parametrize("block", [512, 16])
+def test_op8_links_between_components_span_them(spark, block):
+    """A list of near copies in several components lets out links that connect them, not a row for each pair."""
+    rng, p = random.Random(2), minhash.NearDuplicateParams(block=block)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base, f"tail{rng.randrange(10**6)}"])) for i in range(80)]
+    named = minhash.sketches(spark.createDataFrame(rows, DOCS), "doc_id", "text", p)
+    held = shared.written(named.select("k1", F.struct(F.col("n_shingles").alias("n"), "sketch").alias("own")), "held")
+    keys = [r.k1 for r in held.select("k1").collect()]
+    met = shared.written(held.select(F.explode(F.array(F.lit(7), F.lit(8)).cast("array<bigint>")).alias("value"), "k1"), "met")
+    labels = spark.createDataFrame([(k, keys[i % 2]) for i, k in enumerate(keys[:60])], "node long, component long")
+    links = cases.rows_of(minhash._other_links(met, held, labels, p), "a", "b")
+    parent = {k: keys[i % 2] if i < 60 else k for i, k in enumerate(keys)}
+    for a, b in links:
+        old, new = parent[a], parent[b]
+        parent = {k: new if c == old else c for k, c in parent.items()}
+    assert len(set(parent.values())) == 1
+    blocks = -(-80 // block)
+    assert len(links) <= 21 * blocks * (blocks + 1) // 2  # of 2,290 pairs across components, all of them linked
+
+
 def test_op8_tables(spark):
     docs = cases.rows_of(cases.documents(spark), "doc_id", "text")
     got = {r[0]: r[1:] for r in cases.rows_of(queries.op8_near_duplicates(spark, cases.DATA), "doc_id", "n_shingles", "component_id", "kept")}
