@@ -305,6 +305,28 @@ def test_op3_every_character_is_in_a_shingle(spark):
     assert all(n == 0 for _, n in got)
 
 
+def test_op3_every_place_begins_a_shingle(spark):
+    """With `every`, all runs of up to `size` characters count, so words that differ in their first characters only stay."""
+    p = linededup.LineParams(every=True)
+    texts = [line for _, text in fuzzy_rows() for line in (text or "").split("\n") if line.strip()][:200]
+    texts += [" a  b ", "x", "é" * 63 + "ab", "0123456789" * 7, "0123456789" * 14 + "\U0001f600", "".join(map(chr, range(0x4E00, 0x4E00 + 200)))]
+    table = spark.createDataFrame([(x,) for x in sorted(set(texts))], "line string").withColumns({"a1": F.xxhash64("line"), "a2": F.xxhash64(F.lit(1), "line")})
+    want = {x: {x.strip(" ")[k : k + p.size] for k in range(len(x.strip(" ")))} for x in texts}
+    hashes = {r.line: r.hashes for r in table.select("line", linededup.shingles(F.col("line"), p).alias("hashes")).collect()}
+    named = {r.s: r.h for r in spark.createDataFrame([(s,) for s in set().union(*want.values())], "s string").select("s", F.xxhash64("s").alias("h")).collect()}
+    assert {x: set(h) for x, h in hashes.items()} == {x: {named[s] for s in want[x]} for x in want}
+    exploded = linededup._hashed(table, p).groupBy("a1", "a2").agg(F.count_if("first").alias("n"), F.collect_set("h").alias("h")).join(table, ["a1", "a2"]).collect()
+    assert {r.line: set(r.h) for r in exploded} == {x: set(h) for x, h in hashes.items()} and all(r.n == 1 for r in exploded)
+
+
+def test_op3_lines_that_differ_in_skipped_places_stay(spark):
+    """Two hosts with one path: all they differ in is read by a single shingle of the SQL's, and by twelve of all."""
+    path = "/a/very/long/path/that/both/hosts/share/index.html"
+    rows = [(1, f"http://a.com{path}"), (2, f"http://b.org{path}"), (4, "the same line of plain words"), (5, "the same line of plain words")]
+    left = linededup.drop_lines(spark.createDataFrame(rows, DOCS), params=linededup.LineParams(every=True))
+    assert {r.doc_id for r in left.collect()} == {1, 2, 4}
+
+
 def test_op3_large_tables_are_not_broadcast(spark, monkeypatch):
     """The way beyond the bound on broadcasts, with keys dealt over several tasks, gives the same."""
     df = spark.createDataFrame([*fuzzy_rows(), *((10**6 + i, "the same line everywhere\nand another one") for i in range(1500))], DOCS)
