@@ -149,7 +149,7 @@ def _head_links(met: DataFrame, held: DataFrame, params: NearDuplicateParams) ->
 
 
 def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: NearDuplicateParams) -> DataFrame:
-    """(a, b): estimated links that join components, from all pairs in lists that hold several; a pair of a list's blocks gives a spanning forest."""
+    """(a, b): components that estimated links join, from all pairs in lists that hold several; a pair of a list's blocks gives a spanning forest."""
     known = met.select("value", "k1").join(labels.select(F.col("node").alias("k1"), "component"), "k1", "left")
     known = written(known.withColumn("component", F.coalesce("component", "k1")), "labelled")
     mixed = known.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n_list"))
@@ -170,7 +170,7 @@ def _other_links(met: DataFrame, held: DataFrame, labels: DataFrame, params: Nea
 
 
 def _spanned(batches: Iterator[pa.RecordBatch], params: NearDuplicateParams) -> Iterator[list[tuple[int, int]]]:
-    """For each run of rows with the same value, p and q: estimated links that span its classes' components."""
+    """For each run of rows with the same value, p and q: pairs of components that estimated links between its classes join, spanning all they connect."""
     now, held = None, []
 
     def out() -> list[tuple[int, int]]:
@@ -178,9 +178,10 @@ def _spanned(batches: Iterator[pa.RecordBatch], params: NearDuplicateParams) ->
         if len({row[2] for row in held}) < 2 or (now[1] != now[2] and len({row[1] for row in held}) < 2):
             return []
         held.sort(key=lambda row: row[0])
-        k1, mine, component, n, kept = zip(*held, strict=True)
-        parent = np.unique(np.array(component, np.int64), return_inverse=True)[1]
-        return _forest(np.array(k1, np.int64), np.array(mine), np.array(n, np.int64), list(kept), parent, lambda i, j: True, params)
+        _, mine, components, n, kept = zip(*held, strict=True)
+        component = np.array(components, np.int64)
+        parent = np.unique(component, return_inverse=True)[1]
+        return _forest(component, np.array(mine), np.array(n, np.int64), list(kept), parent, lambda i, j: True, params)
 
     for batch in batches:
         value, p, q, k1, mine, component, n = (c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns[:7])
@@ -210,8 +211,12 @@ def candidate_clusters(classes: DataFrame, params: NearDuplicateParams) -> DataF
     labels = connected_components(near, "heads")
     far = _other_links(met, held, labels, params)
     if far.limit(1).count():
-        forget(labels)
-        labels = connected_components(near.unionByName(far), "clusters")
+        old, moved = labels, connected_components(far, "clusters")
+        to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        kept = old.join(bounded(to, moved), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        alone = moved.join(old.select("node"), "node", "left_anti")  # a class without a link of its own list's first
+        labels = written(kept.unionByName(alone), "clusters")
+        forget(old, moved)
     forget(lists, heads, met, wanted, held, near, far)
     return labels
 

@@ -81,7 +81,7 @@ def test_op8_links_between_components_span_them(spark, block):
     met = shared.written(held.select(F.explode(F.array(F.lit(7), F.lit(8)).cast("array<bigint>")).alias("value"), "k1"), "met")
     labels = spark.createDataFrame([(k, keys[i % 2]) for i, k in enumerate(keys[:60])], "node long, component long")
     links = cases.rows_of(minhash._other_links(met, held, labels, p), "a", "b")
-    parent = {k: keys[i % 2] if i < 60 else k for i, k in enumerate(keys)}
+    parent = {k: k for k in [*keys[:2], *keys[60:]]}  # of components
     for a, b in links:
         old, new = parent[a], parent[b]
         parent = {k: new if c == old else c for k, c in parent.items()}
